@@ -86,12 +86,18 @@ def store_documents(spark: SparkSession, df: DataFrame, path: str) -> dict[str,
     batch = materialize(conform(documents(df), DOCUMENT).withColumn("day", F.to_date("timestamp")), "batch")
     schema = T.StructType([*DOCUMENT.fields, T.StructField("day", T.DateType())])
     if _list_dirs(spark, path):
-        stored = spark.read.schema(schema).parquet(path)
-        existing = stored.join(batch.select("day").distinct(), "day", "left_semi").select(*batch.columns)
+        # calendar days: a short list whatever the size of the batch, and it prunes partitions statically
+        days = [r["day"] for r in batch.select("day").distinct().collect()]
+        touched = F.col("day").isin([d for d in days if d is not None])
+        if None in days:
+            touched = touched | F.col("day").isNull()
+        existing = spark.read.schema(schema).parquet(path).filter(touched).select(*batch.columns)
     else:
         existing = spark.createDataFrame([], schema)
-    counts = upsert_counts(existing, batch.select("message_id", "day"), ["message_id", "day"]).first()
-    merged = materialize(upsert(existing, batch, ["message_id", "day"], [F.col("processing_timestamp")]), "merged")
+    counts = upsert_counts(existing, batch, ["message_id"]).first()
+    merged = materialize(
+        upsert(existing, batch, ["message_id"], [F.col("processing_timestamp")], null_keys=False), "merged"
+    )
     (
         merged.hint("rebalance", F.col("day"))
         .write.mode("overwrite")
@@ -112,14 +118,14 @@ def latest_documents(docs: DataFrame, limit: int = 100, user: str | None = None,
 
 
 def vector_rows(df: DataFrame) -> DataFrame:
-    """The vector table's rows: a stable 63-bit id, ids as text, time in ms."""
+    """The vector table's rows: an automatic id, the stable message id, ids as text and time in ms."""
     missing = {"userid", "campaign", "message", "timestamp", "embedding"} - set(df.columns)
     if missing:
         raise ValueError(f"missing required columns: {sorted(missing)}")
-    prefix = F.conv(F.substring(message_id(), 1, 15), 16, 10).cast("bigint")
     return conform(
         df.select(
-            prefix.alias("id"),
+            F.monotonically_increasing_id().alias("id"),
+            message_id().alias("message_id"),
             F.col("userid").alias("user_id"),
             F.col("campaign").alias("campaign_id"),
             "message",
