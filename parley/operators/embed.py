@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Default vector length; token separators.
@@ -16,21 +18,6 @@ SEPARATORS = r"[^\p{L}\p{N}]+"
 Encoder = Callable[[list[str]], np.ndarray]
 
 
-def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), SEPARATORS), lambda t: t != "")
-
-
-def term_codes(text: Column, dim: int) -> Column:
-    """Signed feature positions of the tokens, 1-based: +p or -p for position p - 1."""
-
-    def code(token: Column) -> Column:
-        h = F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint")
-        position = (h % dim + 1).cast("int")
-        return F.when(F.floor(h / dim) % 2 == 0, position).otherwise(-position)
-
-    return F.transform(tokens(text), code)
-
-
 def list_array(matrix: np.ndarray) -> pa.Array:
     """A matrix as an Arrow list column, without a Python object per row."""
     n, dim = matrix.shape
@@ -38,17 +25,36 @@ def list_array(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(matrix, dtype=np.float32).ravel()))
 
 
-def _scatter(dim: int):
+def _code(token: str, dim: int) -> int:
+    """Signed feature position of a token, 1-based: +p or -p for position p - 1."""
+    h = int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16)
+    return (h % dim + 1) * (1 if h // dim % 2 == 0 else -1)
+
+
+def hashed_features(texts: pa.Array, dim: int) -> np.ndarray:
+    """Feature-hashed token counts of a batch of texts, scaled to unit length.
+
+    Splitting and finding the different tokens are Arrow kernels; Python sees each different token of
+    the batch once.
+    """
+    lists = pc.split_pattern_regex(pc.utf8_lower(texts.fill_null("")), SEPARATORS)
+    words = lists.flatten().dictionary_encode()
+    codes = np.array([_code(t, dim) if t else 0 for t in words.dictionary.to_pylist()], dtype=np.int64)
+    code = codes[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.array([], dtype=np.int64)
+    row = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    filled = code != 0
+    cell = row[filled] * dim + np.abs(code[filled]) - 1
+    sums = np.bincount(cell, weights=np.sign(code[filled]), minlength=len(texts) * dim).reshape(len(texts), dim)
+    norm = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+    return np.divide(sums, norm, out=np.zeros_like(sums), where=norm > 0)
+
+
+def _hash_with(dim: int):
     @F.arrow_udf("array<float>")
-    def scatter(codes: pa.Array) -> pa.Array:
-        lengths = codes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        flat = codes.flatten().to_numpy(zero_copy_only=False)
-        cell = np.repeat(np.arange(len(codes)), lengths) * dim + np.abs(flat) - 1
-        sums = np.bincount(cell, weights=np.sign(flat), minlength=len(codes) * dim).reshape(len(codes), dim)
-        norm = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
-        return list_array(np.divide(sums, norm, out=np.zeros_like(sums), where=norm > 0))
+    def encode(texts: pa.Array) -> pa.Array:
+        return list_array(hashed_features(texts, dim))
 
-    return scatter
+    return encode
 
 
 def _encode_with(factory: Callable[[], Encoder], dim: int):
@@ -76,9 +82,7 @@ def embed(
     """Add an embedding of ``text_col``; blank and NULL texts become the zero vector.
 
     ``encoder`` is a factory that a Python worker calls once per task to load a model; it gets texts
-    in Arrow batches. By default texts are feature-hashed with a sign and scaled to unit length:
-    tokens and hashes are Spark expressions, and Python only adds up a batch of integers.
+    in Arrow batches. By default texts are feature-hashed with a sign and scaled to unit length.
     """
-    if encoder:
-        return df.withColumn(output, _encode_with(encoder, dim)(F.col(text_col)))
-    return df.withColumn(output, _scatter(dim)(term_codes(F.col(text_col), dim)))
+    encode = _encode_with(encoder, dim) if encoder else _hash_with(dim)
+    return df.withColumn(output, encode(F.col(text_col)))

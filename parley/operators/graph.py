@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.columns import engagement_tier, epoch_millis, message_id
 from parley.operators.pairs import BLOCK, member_pairs
+from parley.session import materialize
 
 
 def with_message_id(df: DataFrame) -> DataFrame:
@@ -14,11 +15,11 @@ def with_message_id(df: DataFrame) -> DataFrame:
 
 
 def message_nodes(df: DataFrame) -> DataFrame:
-    """One row per message id, so repeated events are one node."""
+    """One row per message id, so repeated events are one node. The id settles text and time, so whole rows compare."""
     return (
         with_message_id(df)
         .select("message_id", F.col("message").alias("text"), epoch_millis(df, "timestamp").alias("timestamp"))
-        .dropDuplicates(["message_id"])
+        .distinct()
     )
 
 
@@ -73,7 +74,8 @@ def merge_missing(existing: DataFrame, incoming: DataFrame, keys: list[str]) ->
 
 
 def user_campaigns(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("campaign").isNotNull()).select("userid", "campaign").distinct()
+    known = F.col("userid").isNotNull() & F.col("campaign").isNotNull()
+    return df.filter(known).select("userid", "campaign").distinct()
 
 
 def user_similarity(df: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -81,38 +83,35 @@ def user_similarity(df: DataFrame, block: int = BLOCK) -> DataFrame:
 
     Users with the same campaign set are interchangeable, so the sets are paired instead of the
     users, and members are put back at the end. A campaign used by very many users who did nothing
-    else is one set, not a quadratic number of pairs. Sets are told apart by the sum of 60-bit
-    prefixes of two digests of their campaigns and their size, never collected into an array.
+    else is one set, not a quadratic number of pairs. Sets are told apart by their size and a 128-bit
+    digest of their members, never collected into an array, and then numbered.
     """
     pairs = user_campaigns(df)
-    sets = (
-        pairs.groupBy("userid")
-        .agg(
+    digest = ["set_size", "d1", "d2"]
+    user_sets = materialize(
+        pairs.groupBy("userid").agg(
             F.count("*").alias("set_size"),
-            F.sum(_digest_prefix("campaign", 1)).alias("d1"),
-            F.sum(_digest_prefix("campaign", 21)).alias("d2"),
-        )
-        .select("userid", "set_size", F.concat_ws(".", "set_size", "d1", "d2").alias("set_id"))
+            F.bit_xor(F.xxhash64("campaign")).alias("d1"),
+            F.bit_xor(F.xxhash64(F.lit("second"), "campaign")).alias("d2"),
+        ),
+        "user_sets",
     )
-    set_campaigns = pairs.join(sets, "userid").select("campaign", "set_id").distinct()
+    sets = user_sets.select(*digest).distinct().withColumn("set_id", F.monotonically_increasing_id())
+    members = materialize(user_sets.join(materialize(sets, "sets"), digest).select("userid", "set_id", "set_size"), "members")
+    set_campaigns = pairs.join(members, "userid").select("campaign", "set_id").distinct()
     overlaps = member_pairs(set_campaigns, "campaign", "set_id", block).groupBy("left", "right").agg(
         F.count("*").alias("weight")
     )
-    members = sets.select("set_id", "userid")
+    of = members.select("set_id", "userid")
     between = (
-        overlaps.join(members.withColumnsRenamed({"set_id": "left", "userid": "a"}), "left")
-        .join(members.withColumnsRenamed({"set_id": "right", "userid": "b"}), "right")
+        overlaps.join(of.withColumnsRenamed({"set_id": "left", "userid": "a"}), "left")
+        .join(of.withColumnsRenamed({"set_id": "right", "userid": "b"}), "right")
         .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"), "weight")
     )
-    # the size is the leading part of the set id
-    within = member_pairs(sets.select("set_id", F.struct("userid", "set_size").alias("m")), "set_id", "m", block).select(
-        F.col("left.userid").alias("src"), F.col("right.userid").alias("dst"), F.col("left.set_size").alias("weight")
+    within = member_pairs(members.select("set_id", F.struct("userid", "set_size").alias("m")), "set_id", "m", block)
+    return between.unionByName(
+        within.select(F.col("left.userid").alias("src"), F.col("right.userid").alias("dst"), F.col("left.set_size").alias("weight"))
     )
-    return between.unionByName(within)
-
-
-def _digest_prefix(name: str, start: int):
-    return F.conv(F.substring(F.sha2(name, 256), start, 15), 16, 10).cast("decimal(20,0)")
 
 
 def similar_users(df: DataFrame, user_id: str, k: int = 5) -> DataFrame:

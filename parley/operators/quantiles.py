@@ -5,50 +5,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.session import materialize
+
 # Distance in rank share between a wanted rank and the splits around it, and the sketch's accuracy.
 MARGIN = 0.0005
 ACCURACY = 20_000
 
 
 def ranked_values(
-    df: DataFrame, group: str, value: str, shares: dict[str, float], margin: float = MARGIN, accuracy: int = ACCURACY
+    df: DataFrame,
+    group: str,
+    value: str,
+    shares: dict[str, float],
+    also: dict[str, Column] | None = None,
+    margin: float = MARGIN,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """(group, name, value): the value at 0-based rank floor(n * share) of each group, by name.
+    """One row per group: the value at 0-based rank floor(n * share) under each name, and the aggregates in ``also``.
 
     A ranking of a whole group would put it into one task. Instead each group gets splits just below
     and above the wanted ranks from a mergeable quantile sketch, equal values are counted together, and
     the counts between splits tell exactly which piece holds a wanted rank and where it starts. Only
     that piece, some ``2 * margin`` of the group, is ranked. The sketch merely sets how even the pieces
-    are; the result does not depend on it.
+    are; the result does not depend on it. The rows are read twice: for the sketch and for the counts.
+    The sketch, one row per group, is stored first, so Spark knows its size when it plans the joins.
     """
+    also = also or {}
+    rows = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
     points = sorted({min(max(p + s, 0.0), 1.0) for p in shares.values() for s in (-margin, margin)})
-    counts = df.filter(F.col(value).isNotNull()).groupBy(group, F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    splits = df.groupBy(F.col(group).alias("g")).agg(
-        F.percentile_approx(value, points, accuracy).alias("splits"), F.count(value).alias("total")
+    sketch = rows.groupBy(group).agg(
+        F.percentile_approx(value, points, accuracy).alias("splits"),
+        F.count(value).alias("total"),
+        *[c.alias(name) for name, c in also.items()],
     )
+    sketch = materialize(sketch, "sketch")
+    counts = rows.groupBy(group, F.col(value).alias("v")).agg(F.count("*").alias("n"))
     # number of splits below the value: a sum over the few points, evaluated in generated code
-    piece = sum((F.coalesce((F.col("v") > F.col("splits")[i]).cast("int"), F.lit(0)) for i in range(len(points))), F.lit(0))
-    placed = counts.join(splits, F.col(group).eqNullSafe(F.col("g"))).select(
-        F.col("g").alias(group), "v", "n", "total", piece.alias("piece")
-    )
-    pieces = placed.groupBy(group, "piece").agg(F.sum("n").alias("size"), F.max("total").alias("total"))
+    above = [(F.col("v") > F.col("splits")[i]).cast("int") for i in range(len(points))]
+    piece = sum(above[1:], above[0])
+    placed = counts.join(sketch.select(group, "splits"), group).select(group, "v", "n", piece.alias("piece"))
+    sizes = placed.groupBy(group, "piece").agg(F.sum("n").alias("size"), F.max("v").alias("top"))
     before = Window.partitionBy(group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = pieces.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    starts = sizes.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
     wanted = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(p).alias("share")) for k, p in shares.items()])
     targets = (
-        starts.select(F.col(group).alias("g"), "piece", "size", "start", "total", F.inline(wanted))
+        starts.join(sketch.select(group, "total"), group)
+        .select(group, "piece", "size", "start", "top", "total", F.inline(wanted))
         .withColumn("rank", F.floor(F.col("total") * F.col("share")))
         .filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("size")))
-        .select("g", F.col("piece").alias("p"), "start", "name", "rank")
+        .select(group, "piece", "start", "name", "rank")
     )
-    hit = placed.join(targets, F.col(group).eqNullSafe(F.col("g")) & (F.col("piece") == F.col("p")))
-    upto = Window.partitionBy("g", "name").orderBy("v")
-    return (
-        hit.withColumn("seen", F.col("start") + F.sum("n").over(upto))
+    upto = Window.partitionBy(group, "name").orderBy("v")
+    found = (
+        placed.join(targets, [group, "piece"])
+        .withColumn("seen", F.col("start") + F.sum("n").over(upto))
         .filter(F.col("seen") > F.col("rank"))
-        .groupBy(F.col("g").alias(group), "name")
-        .agg(F.min("v").alias("value"))
+        .groupBy(group)
+        .agg(*[F.min(F.when(F.col("name") == k, F.col("v"))).alias(k) for k in shares])
     )
+    return sketch.drop("splits").join(found, group, "left")
 
 
 def sketched_values(df: DataFrame, group: str, value: Column, shares: dict[str, float], accuracy: int = 10_000) -> DataFrame:

@@ -98,13 +98,8 @@ def latency_stats(
     if endpoint:
         recent = recent.filter(F.col("endpoint") == endpoint)
     recent = recent.select("endpoint", (F.col("duration_seconds") * 1000).alias("ms"))
-    totals = recent.groupBy("endpoint").agg(F.count("*").alias("count"), F.avg("ms").alias("avg_latency_ms"))
-    ranks = (
-        ranked_values(recent, "endpoint", "ms", PERCENTILES)
-        .groupBy("endpoint")
-        .agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in PERCENTILES])
-    )
-    return totals.join(ranks, "endpoint", "left")
+    stats = ranked_values(recent, "endpoint", "ms", PERCENTILES, {"avg_latency_ms": F.avg("ms")})
+    return stats.select("endpoint", F.col("total").alias("count"), "avg_latency_ms", *PERCENTILES)
 
 
 def overall_latency(requests: DataFrame, now: datetime | Column, window_minutes: int | None = WINDOW_MINUTES) -> DataFrame:

@@ -204,7 +204,7 @@ def graph_merge(spark, sf_dir):
 
 @query
 def graph_edges_window(spark, sf_dir):
-    df = views.interactions(spark, sf_dir, message=True)
+    df = _identified(spark, sf_dir)
     since = 1_705_795_200_000  # 2024-01-21 in ms
     return graph.edges_since(graph.sent_edges(df), graph.message_nodes(df), since)
 
@@ -228,15 +228,20 @@ def _everyone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.table(spark, sf_dir, "customer").select(F.concat(F.lit("u"), F.col("c_custkey")).alias("user_id"))
 
 
+def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with their ids, stored once because several graph tables derive from them."""
+    return materialize(graph.with_message_id(views.interactions(spark, sf_dir, message=True)), "identified")
+
+
 @query
 def graph_user_engagement(spark, sf_dir):
-    df = views.interactions(spark, sf_dir, message=True)
+    df = _identified(spark, sf_dir)
     return graph.graph_user_engagement(_everyone(spark, sf_dir), graph.sent_edges(df), graph.message_nodes(df))
 
 
 @query
 def graph_integrity(spark, sf_dir):
-    df = views.interactions(spark, sf_dir, message=True)
+    df = _identified(spark, sf_dir)
     return graph.graph_integrity(
         _everyone(spark, sf_dir), graph.message_nodes(df), graph.sent_edges(df), graph.about_edges(df)
     )
@@ -280,7 +285,7 @@ def docs_by_campaign(spark, sf_dir):
 @query
 def save_json_cols(spark, sf_dir):
     engagement = metrics.user_engagement(views.interactions(spark, sf_dir))
-    return stringify_nested(engagement.select("user_id", "message_count", "preferred_campaigns"))
+    return stringify_nested(engagement.withColumn("last_active", F.col("last_active").cast("string")))
 
 
 def _document_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -468,12 +473,12 @@ def recommendations_two_stage(spark, sf_dir):
 def stream_daily_counts(spark, sf_dir):
     """The events as a stream into a table of daily counts."""
     schema = views.table(spark, sf_dir, "events").schema
-    k = F.get_json_object("props", "$.k").cast("int")
+    campaign = F.nullif(F.concat(F.lit("c"), F.get_json_object("props", "$.k")), F.lit("c0"))
     arriving = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
-        .select(F.when(k != 0, F.concat(F.lit("c"), k)).alias("campaign"), F.col("ts").cast("timestamp").alias("timestamp"))
+        .select(campaign.alias("campaign"), F.col("ts").cast("timestamp").alias("timestamp"))
     )
     table = tables.VersionedTable(spark, scratch_path(spark, "daily_counts"), stream.DAILY_COUNTS)
     stream.maintain_daily_counts(arriving, table, delay="31 days").awaitTermination()

@@ -202,7 +202,8 @@ SELECT 0::BIGINT AS messages_without_sender,
 FROM msg WHERE userid = 'u1' ORDER BY timestamp DESC, message_id LIMIT 100""",
     "docs_by_campaign": f"""WITH {MSG} SELECT message_id, userid, CAST(timestamp AS VARCHAR) AS timestamp, md5(message) AS message_md5
 FROM msg WHERE campaign = 'c7' ORDER BY timestamp DESC, message_id LIMIT 100""",
-    "save_json_cols": f"""WITH {INTER}, {engagement('inter')} SELECT user_id, message_count, CASE WHEN preferred_campaigns = ''
+    "save_json_cols": f"""WITH {INTER}, {engagement('inter')} SELECT user_id, message_count, engagement_score,
+  CAST(last_active AS VARCHAR) AS last_active, CASE WHEN preferred_campaigns = ''
   THEN '[]' ELSE '["' || replace(preferred_campaigns, ',', '","') || '"]' END AS preferred_campaigns FROM eng""",
     "step_throughput": f"""WITH {STEPS} SELECT seq, CASE WHEN duration_seconds > 0
   THEN round(output_count / duration_seconds, 6) ELSE 0 END AS throughput FROM steps""",

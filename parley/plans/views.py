@@ -16,11 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def interactions(spark: SparkSession, sf_dir: str, message: bool = False, whole_text: bool = False) -> DataFrame:
     """events as interactions. Campaign is NULL for k = 0; the message, if asked for, is a document's text."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    # one evaluation of the JSON path per row
+    campaign = F.nullif(F.concat(F.lit("c"), F.get_json_object("props", "$.k")), F.lit("c0"))
     events = table(spark, sf_dir, "events").select(
         "event_id",
         F.concat(F.lit("u"), F.col("user_id")).alias("userid"),
-        F.when(k != 0, F.concat(F.lit("c"), k)).alias("campaign"),
+        campaign.alias("campaign"),
         F.col("ts").alias("timestamp"),
     )
     if not message:
