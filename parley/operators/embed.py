@@ -44,7 +44,8 @@ def hashed_features(texts: pa.Array, dim: int) -> np.ndarray:
     row = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy(zero_copy_only=False))
     filled = code != 0
     cell = row[filled] * dim + np.abs(code[filled]) - 1
-    sums = np.bincount(cell, weights=np.sign(code[filled]), minlength=len(texts) * dim).reshape(len(texts), dim)
+    signs = np.sign(code[filled]).astype(np.float64)
+    sums = np.bincount(cell, weights=signs, minlength=len(texts) * dim).astype(np.float64).reshape(len(texts), dim)
     norm = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
     return np.divide(sums, norm, out=np.zeros_like(sums), where=norm > 0)
 
@@ -85,4 +86,5 @@ def embed(
     in Arrow batches. By default texts are feature-hashed with a sign and scaled to unit length.
     """
     encode = _encode_with(encoder, dim) if encoder else _hash_with(dim)
-    return df.withColumn(output, encode(F.col(text_col)))
+    # so that no optimizer rule copies the costly call, as it would for a filter on the result
+    return df.withColumn(output, encode.asNondeterministic()(F.col(text_col)))
