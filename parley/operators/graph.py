@@ -147,17 +147,19 @@ def similar_users_from_edges(edges: DataFrame, user_id: str, k: int = 5) -> Data
 
 
 def campaigns_for_users(df: DataFrame, users: list[str] | DataFrame) -> DataFrame:
-    """Campaigns that any of the given users wrote about, with those users; most users first."""
+    """Campaigns that any of the given users wrote about, by number of those users.
+
+    For a list of users each row also names them. For a table of users (``userid``), which may be large,
+    it only counts them; ``user_campaigns`` has the pairs.
+    """
     pairs = user_campaigns(df)
+    found = [F.count("*").alias("user_count")]
     if isinstance(users, DataFrame):
         pairs = pairs.join(users.select("userid"), "userid", "left_semi")
     else:
         pairs = pairs.filter(F.col("userid").isin(users))
-    return (
-        pairs.groupBy(F.col("campaign").alias("campaign_id"))
-        .agg(F.count("*").alias("user_count"), F.array_sort(F.collect_list("userid")).alias("user_list"))
-        .orderBy(F.desc("user_count"), "campaign_id")
-    )
+        found.append(F.array_sort(F.collect_list("userid")).alias("user_list"))
+    return pairs.groupBy(F.col("campaign").alias("campaign_id")).agg(*found).orderBy(F.desc("user_count"), "campaign_id")
 
 
 def graph_user_engagement(users: DataFrame, sent: DataFrame, messages: DataFrame) -> DataFrame:

@@ -141,13 +141,33 @@ def best_campaigns(spark, sf_dir):
 
 
 @query
-def analytics_report_row(spark, sf_dir):
+def analytics_report_rows(spark, sf_dir):
+    """The nested report, listed as (section, key, value)."""
     df = views.interactions(spark, sf_dir)
-    engagement = metrics.user_engagement(df)
-    performance = metrics.campaign_performance(df)
-    daily = metrics.daily_activity(df)
-    report = analytics_report(df, engagement, performance, daily, F.lit("2024-02-01").cast("timestamp"))
-    return stringify_nested(report.withColumn("report_timestamp", F.col("report_timestamp").cast("string")))
+    report = analytics_report(
+        df, metrics.user_engagement(df), metrics.campaign_performance(df), metrics.daily_activity(df)
+    )
+
+    def entry(section: str, key: Column, value: Column) -> Column:
+        return F.struct(
+            F.lit(section).alias("section"), key.cast("string").alias("key"), value.cast("string").alias("value")
+        )
+
+    totals = [
+        entry("summary", F.lit(n), F.col(f"summary.{n}"))
+        for n in ("total_users", "total_campaigns", "total_messages", "avg_engagement_score")
+    ]
+    users = F.transform(
+        "top_performers.most_engaged_users", lambda x: entry("users", x["user_id"], x["message_count"])
+    )
+    campaigns = F.transform(
+        "top_performers.best_performing_campaigns", lambda x: entry("campaigns", x["campaign_id"], x["total_messages"])
+    )
+    days = F.transform(F.map_entries("trends.messages_last_7_days"), lambda x: entry("days", x["key"], x["value"]))
+    active = F.transform(
+        F.map_entries("trends.user_activity"), lambda x: entry("active", x["key"], x["value"]["active_users"])
+    )
+    return report.select(F.inline(F.concat(F.array(*totals), users, campaigns, days, active)))
 
 
 @query

@@ -16,6 +16,7 @@ from parley.operators import graph, metrics, quality, telemetry
 from parley.operators.embed import EMBEDDING_DIM, embed
 from parley.operators.recommend import recommendations
 from parley.plans.report import analytics_report
+from parley.session import scratch_scope
 from parley.sources import tables
 from parley.sources.events import ingest
 
@@ -89,6 +90,11 @@ class RunLog:
                 self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
 
 
+def log_requests(spark: SparkSession, rows: list[dict], root: str) -> None:
+    """Append served requests to the request log that the latency statistics read."""
+    spark.createDataFrame(rows, schemas.REQUEST_LOG).coalesce(1).write.mode("append").parquet(f"{root}/request_log")
+
+
 def save_monitoring_report(spark: SparkSession, root: str, keep: int = 20) -> None:
     """The run summary and the latest runs as JSON."""
     runs, steps = spark.read.parquet(f"{root}/runs"), spark.read.parquet(f"{root}/step_metrics")
@@ -98,8 +104,8 @@ def save_monitoring_report(spark: SparkSession, root: str, keep: int = 20) -> No
 
 def metrics_job(spark: SparkSession, df: DataFrame, root: str) -> None:
     """Compute the three metric tables once, store them, and take report and CSV exports from the stored ones."""
-    tables.save_table(metrics.user_engagement(df), f"{root}/user_engagement")
-    tables.save_table(metrics.campaign_performance(df), f"{root}/campaign_performance")
+    tables.save_table(metrics.user_engagement(df), f"{root}/user_engagement", lookup="user_id")
+    tables.save_table(metrics.campaign_performance(df), f"{root}/campaign_performance", lookup="campaign_id")
     tables.save_daily(metrics.daily_activity(df), f"{root}/user_activity_daily")
     engagement = spark.read.parquet(f"{root}/user_engagement")
     performance = spark.read.parquet(f"{root}/campaign_performance")
@@ -112,6 +118,11 @@ def metrics_job(spark: SparkSession, df: DataFrame, root: str) -> None:
 def graph_job(spark: SparkSession, df: DataFrame, root: str) -> None:
     """Rebuild the graph tables; stale similarity edges do not survive a rebuild."""
     ids = graph.with_message_id(df)
+    with scratch_scope(spark):
+        _write_graph(ids, root)
+
+
+def _write_graph(ids: DataFrame, root: str) -> None:
     for name, table in (
         ("users", graph.user_nodes(ids)),
         ("campaigns", graph.campaign_nodes(ids)),
@@ -140,7 +151,9 @@ def update_campaign_frequency(spark: SparkSession, df: DataFrame, root: str, rep
 
 
 def recommend_job(spark: SparkSession, df: DataFrame, root: str, dim: int = EMBEDDING_DIM, **options) -> None:
-    recommendations(df, dim, **options).write.mode("overwrite").parquet(f"{root}/recommendations")
+    """Write everybody's recommendations, ordered for lookups by user."""
+    with scratch_scope(spark):
+        tables.save_table(recommendations(df, dim, **options), f"{root}/recommendations", lookup="user_id")
 
 
 def user_lookup(spark: SparkSession, root: str, user_id: str) -> DataFrame:
@@ -183,7 +196,8 @@ def run_pipeline(
                 "metadata": profile,
             }
         with log.step("document_storage", n) as facts:
-            counts = tables.store_documents(spark, events, f"{root}/documents")
+            with scratch_scope(spark):
+                counts = tables.store_documents(spark, events, f"{root}/documents")
             facts |= {"output_count": counts["inserted"] + counts["updated"], "metadata": counts}
         with log.step("embedding_generation", n) as facts:
             tables.save_embeddings(embed(events, encoder=encoder, dim=dim), f"{root}/embedded")

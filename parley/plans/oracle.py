@@ -146,6 +146,18 @@ WHERE campaign IN ('c1', 'c2', 'c3', 'c50', 'c99', 'none') GROUP BY campaign""",
 SELECT {ENG_COLUMNS} FROM eng ORDER BY message_count DESC, user_id LIMIT 5""",
     "best_campaigns": f"""WITH {INTER}, {PERF}
 SELECT * FROM perf ORDER BY total_messages DESC, campaign_id NULLS LAST LIMIT 5""",
+    "analytics_report_rows": f"""WITH {INTER}, {engagement('inter')}, {PERF},
+  byday AS (SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS d, CAST(count(*) AS VARCHAR) AS n,
+    CAST(count(DISTINCT userid) AS VARCHAR) AS u FROM inter GROUP BY 1 ORDER BY 1 DESC LIMIT 7)
+SELECT 'summary' AS section, 'total_users' AS key, CAST(count(DISTINCT userid) AS VARCHAR) AS value FROM inter
+UNION ALL SELECT 'summary', 'total_campaigns', CAST((SELECT count(*) FROM perf) AS VARCHAR)
+UNION ALL SELECT 'summary', 'total_messages', CAST(count(*) AS VARCHAR) FROM inter
+UNION ALL SELECT 'summary', 'avg_engagement_score', CAST(avg(CASE engagement_score WHEN 'high' THEN 3 WHEN 'medium'
+  THEN 2 ELSE 1 END) AS VARCHAR) FROM eng
+UNION ALL (SELECT 'users', user_id, CAST(message_count AS VARCHAR) FROM eng ORDER BY message_count DESC, user_id LIMIT 5)
+UNION ALL (SELECT 'campaigns', campaign_id, CAST(total_messages AS VARCHAR) FROM perf
+  ORDER BY total_messages DESC, campaign_id NULLS LAST LIMIT 5)
+UNION ALL SELECT 'days', d, n FROM byday UNION ALL SELECT 'active', d, u FROM byday""",
     "document_stats": f"""WITH {INTER} SELECT count(*) AS total_documents,
   (SELECT count(*) FROM (SELECT DISTINCT userid FROM inter)) AS unique_users,
   (SELECT count(*) FROM (SELECT DISTINCT campaign FROM inter)) AS unique_campaigns FROM inter""",

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SCRATCH_CONF = "parley.scratch.root"
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_paths", default=None)
 
 
 def build_session(app_name: str = "parley", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,7 +53,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    paths = _scope.get()
+    if paths is not None:
+        paths.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made inside; use it around work whose results are written inside."""
+    token = _scope.set([])
+    try:
+        yield
+    finally:
+        for path in _scope.get() or []:
+            delete_path(spark, path)
+        _scope.reset(token)
 
 
 def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:

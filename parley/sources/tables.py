@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from parley.functions.columns import epoch_millis, message_id, stringify_nested
 from parley.operators.upsert import upsert, upsert_counts
 from parley.schemas import DOCUMENT, TABLES, VECTOR_TABLE, conform
-from parley.session import materialize
+from parley.session import delete_path, materialize
 
 
 def _list_dirs(spark: SparkSession, path: str) -> list[str]:
@@ -148,9 +148,17 @@ def load_embeddings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def save_table(df: DataFrame, path: str, mode: str = "overwrite", flat: bool = False) -> None:
-    """Save an aggregate: ``overwrite`` replaces, anything else appends. ``flat`` turns nested columns into JSON text."""
+def save_table(
+    df: DataFrame, path: str, mode: str = "overwrite", flat: bool = False, lookup: str | None = None
+) -> None:
+    """Save an aggregate: ``overwrite`` replaces, anything else appends. ``flat`` turns nested columns into JSON text.
+
+    ``lookup`` names a column that is filtered by value later: files then hold disjoint ranges of it in
+    order, and Parquet statistics skip all but one.
+    """
     out = stringify_nested(df) if flat else df
+    if lookup:
+        out = out.repartitionByRange(lookup).sortWithinPartitions(lookup)
     out.write.mode("overwrite" if mode == "overwrite" else "append").parquet(path)
 
 
@@ -216,6 +224,10 @@ def jdbc_options(
     return options
 
 
+def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    return spark.read.format("jdbc").options(**options).load()
+
+
 def save_jdbc(df: DataFrame, options: dict[str, str], mode: str = "overwrite") -> None:
     stringify_nested(df).write.format("jdbc").options(**options).mode(mode).save()
 
@@ -223,3 +235,12 @@ def save_jdbc(df: DataFrame, options: dict[str, str], mode: str = "overwrite") -
 def compact(spark: SparkSession, source: str, target: str) -> None:
     """Rewrite a table of small files into files of AQE's advisory size."""
     spark.read.parquet(source).hint("rebalance").write.mode("overwrite").parquet(target)
+
+
+def expire_days(spark: SparkSession, path: str, before: str, column: str = "day") -> list[str]:
+    """Drop the partitions of days before ``before`` (YYYY-MM-DD) from a table partitioned by day."""
+    days = [d.removeprefix(f"{column}=") for d in _list_dirs(spark, path) if d.startswith(f"{column}=2")]
+    old = sorted(d for d in days if d < before)
+    for day in old:
+        delete_path(spark, f"{path}/{column}={day}")
+    return old

@@ -228,3 +228,33 @@ def test_streams_equal_batch(spark, sample, tmp_path):
     stream.maintain_daily_counts(events, closed, distinct=True).awaitTermination()
     first_day = closed.read().filter("activity_date = date'2026-01-10'")
     assert {r["campaign_id"]: r["message_count"] for r in first_day.collect()} == expected
+
+
+def test_expire_days(spark, sample, tmp_path):
+    path = str(tmp_path / "docs")
+    tables.store_documents(spark, sample, path)
+    later = sample.withColumn("timestamp", F.col("timestamp") + F.expr("interval 5 days"))
+    tables.store_documents(spark, later, path)
+    assert tables.expire_days(spark, path, "2026-01-12") == ["2026-01-10"]
+    assert spark.read.parquet(path).count() == 8
+
+
+def test_request_log(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    at = datetime(2026, 1, 10, tzinfo=timezone.utc)
+    row = {"endpoint": "/r", "method": "GET", "status_code": 200, "duration_seconds": 0.5, "user_id": "u1", "timestamp": at}
+    jobs.log_requests(spark, [row, row], str(tmp_path))
+    log = spark.read.parquet(str(tmp_path / "request_log"))
+    assert telemetry.latency_stats(log, F.lit(at)).first()["p50_latency_ms"] == 500.0
+
+
+def test_scratch_scope_removes_its_tables(spark):
+    import os
+
+    from parley.session import materialize, scratch_root, scratch_scope
+
+    before = set(os.listdir(scratch_root(spark)))
+    with scratch_scope(spark):
+        assert materialize(spark.range(3), "gone").count() == 3
+    assert set(os.listdir(scratch_root(spark))) == before

@@ -146,3 +146,21 @@ def test_recommendations_score_and_options(spark):
     assert [(r["campaign_id"], r["score"]) for r in filled] == [("c2", 0.5), ("c1", pytest.approx(1 / 3))]
     with pytest.raises(ValueError):
         recommend.recommendations(df, 2, top_k=21)
+
+
+def test_request_for_one_user(spark):
+    rows = [("q", "c1", 1, [0.0, 0.0]), ("a", "c2", 2, [1.0, 0.0]), ("b", "c3", 3, [0.0, 3.0])]
+    df = _messages(spark, rows)
+    everyone = recommend.recommendations(df, 2)
+    one = recommend.recommendations(df, 2, for_users=["q"])
+    key = ["user_id", "campaign_id", "score", "rank"]
+    assert sorted(map(tuple, one.select(*key).collect())) == sorted(
+        map(tuple, everyone.filter("user_id = 'q'").select(*key).collect())
+    )
+
+
+def test_top_k_filters_reach_the_partial_limit(spark):
+    """Rankings are cut per task before the shuffle, so a hot user cannot fill one task."""
+    df = recommend.with_message_id(_messages(spark, [("a", "c", 1, [0.0])]))
+    plan = recommend.latest_messages(df, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
