@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.operators.joins import lookup_join
 from parley.session import materialize
 
 # Distance in rank share between a wanted rank and the splits around it, and the sketch's accuracy.
@@ -28,7 +29,7 @@ def ranked_values(
     the counts between splits tell exactly which piece holds a wanted rank and where it starts. Only
     that piece, some ``2 * margin`` of the group, is ranked. The sketch merely sets how even the pieces
     are; the result does not depend on it. The rows are read twice: for the sketch and for the counts.
-    The sketch, one row per group, is stored first, so Spark knows its size when it plans the joins.
+    The sketch, one short row per group, is stored first.
     """
     also = also or {}
     rows = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
@@ -43,7 +44,9 @@ def ranked_values(
     # number of splits below the value: a sum over the few points, evaluated in generated code
     above = [(F.col("v") > F.col("splits")[i]).cast("int") for i in range(len(points))]
     piece = sum(above[1:], above[0])
-    placed = counts.join(sketch.select(group, "splits"), group).select(group, "v", "n", piece.alias("piece"))
+    placed = lookup_join(counts, sketch.select(group, "splits"), [group], "v").select(
+        group, "v", "n", piece.alias("piece")
+    )
     sizes = placed.groupBy(group, "piece").agg(F.sum("n").alias("size"), F.max("v").alias("top"))
     before = Window.partitionBy(group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))

@@ -104,6 +104,14 @@ def test_centroid_cap_takes_latest(spark):
     assert got == {"a": ([4.5, 0.0], 2), "b": ([4.0, 4.0], 1)}
 
 
+def test_messages_without_time_count_as_oldest(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "m1"), ("a", None, "m2"), ("a", None, "m0"), ("b", None, "m3")], "userid string, s int, message_id string"
+    ).withColumn("timestamp", F.timestamp_seconds("s"))
+    kept = {cap: sorted(r["message_id"] for r in recommend.latest_messages(df, cap).collect()) for cap in (1, 2, 3)}
+    assert kept == {1: ["m1", "m3"], 2: ["m0", "m1", "m3"], 3: ["m0", "m1", "m2", "m3"]}
+
+
 def test_similar_users_fold(spark):
     rows = [
         ("q", "c1", 1, [0.0, 0.0]), ("a", "c1", 2, [1.0, 0.0]), ("a", "c2", 3, [2.0, 0.0]), ("a", "c2", 4, [3.0, 0.0]),
@@ -159,8 +167,35 @@ def test_request_for_one_user(spark):
     )
 
 
-def test_top_k_filters_reach_the_partial_limit(spark):
+def test_ranking_limits_reach_below_the_shuffle(spark):
     """Rankings are cut per task before the shuffle, so a hot user cannot fill one task."""
-    df = recommend.with_message_id(_messages(spark, [("a", "c", 1, [0.0])]))
-    plan = recommend.latest_messages(df, 10)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    from parley.operators import metrics, telemetry
+    from parley.plans import views
+
+    sf_dir = "/root/testdata/sf0.001"
+    frames = [
+        recommend.message_cuts(recommend.with_message_id(views.embedded(spark, sf_dir))),
+        metrics.user_engagement(views.interactions(spark, sf_dir)),
+        telemetry.latency_anomalies(views.step_metrics(spark, sf_dir)),
+    ]
+    for df in frames:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_no_query_multiplies_tables(spark):
+    from parley.plans.catalog import QUERIES
+
+    for name in ("recommendations", "similar_users_vector", "knn_exact", "user_similarity", "report_summary"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan, name
+
+
+def test_engagement_scans_events_once(spark):
+    from parley.operators import metrics
+    from parley.plans import views
+
+    df = metrics.user_engagement(views.interactions(spark, "/root/testdata/sf0.001"))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1
