@@ -27,19 +27,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
 class VersionedTable:
     """A Parquet table whose every write is a new version; a version counts once its write has committed.
 
-    Readers keep the version they planned with, and a failed write leaves the table as it was.
+    Readers keep the version they planned with, and a failed write leaves the table as it was. The last
+    ``keep`` versions stay, for readers that are still at work.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep: int = 3):
+        self.spark, self.path, self.schema, self.keep = spark, path.rstrip("/"), schema, keep
 
-    def _version(self) -> int | None:
-        done = [
+    def _versions(self) -> list[int]:
+        return sorted(
             int(d.removeprefix("version="))
             for d in _list_dirs(self.spark, self.path)
             if d.startswith("version=") and _exists(self.spark, f"{self.path}/{d}/_SUCCESS")
-        ]
-        return max(done, default=None)
+        )
+
+    def _version(self) -> int | None:
+        return max(self._versions(), default=None)
 
     def read(self) -> DataFrame:
         version = self._version()
@@ -51,6 +54,8 @@ class VersionedTable:
         version = self._version()
         target = 1 if version is None else version + 1
         conform(df, self.schema).write.mode("overwrite").parquet(f"{self.path}/version={target}")
+        for old in self._versions()[: -self.keep]:
+            delete_path(self.spark, f"{self.path}/version={old}")
 
     def upsert(self, batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> None:
         self.replace(upsert(self.read(), conform(batch, self.schema), keys, order))

@@ -52,6 +52,9 @@ def test_versioned_table(spark, tmp_path):
     table.upsert(spark.createDataFrame([("b", 5, 2)], row), ["campaign_id"])
     assert {(r[0], r[1]) for r in table.read().collect()} == {("a", 1), ("b", 5)}
     assert before.count() == 2
+    for n in range(3):
+        table.upsert(spark.createDataFrame([("b", n, 2)], row), ["campaign_id"])
+    assert table._versions() == [3, 4, 5]
 
 
 def test_conform(spark):
