@@ -44,6 +44,14 @@ def test_exact_knn_equals_brute_force(spark, points, nlist, vector_block, query_
     assert all(r["user_id"] == f"u{r['id'] % 7}" for r in hits.collect())
 
 
+def test_copies_beyond_any_answer_are_left_out(spark, points):
+    index = knn.build_index(_table(spark, points), 8, nlist=12)
+    thin = knn.without_spare_copies(index, 3, block=20)
+    # 75 copies of one point shrink to three, all else stays
+    assert thin.rows.count() == 153 == thin.counts.sum()
+    assert knn.without_spare_copies(index, 3) is index
+
+
 def test_more_neighbours_than_vectors(spark, points):
     index = knn.build_index(_table(spark, points[:5]), 8, nlist=3)
     qdf = spark.createDataFrame([(0, [0.0] * 8), (1, None)], "qid long, qvec array<double>")
