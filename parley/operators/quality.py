@@ -16,6 +16,15 @@ COMPATIBLE = (
     (T.IntegerType, T.LongType, T.DoubleType),
 )
 
+# Texts of findings.
+MISSING_COLUMN = "Missing required column: {}"
+TYPE_MISMATCH = "Column {} type mismatch: expected {}, got {}"
+BAD_VALUES = "Found %d %s values in required field: %s"
+NO_EMBEDDINGS = "Missing 'embedding' column"
+NULL_EMBEDDINGS = "Found {} null embeddings"
+EMPTY_EMBEDDINGS = "Found {} empty embeddings"
+WRONG_DIMENSION = "Found {} embeddings with wrong dimension (expected {})"
+
 
 def _compatible(expected: T.DataType, actual: T.DataType) -> bool:
     return expected == actual or any(isinstance(expected, g) and isinstance(actual, g) for g in COMPATIBLE)
@@ -26,12 +35,9 @@ def _schema_faults(df: DataFrame, expected: T.StructType) -> list[str]:
     faults = []
     for f in expected:
         if f.name not in actual:
-            faults.append(f"Missing required column: {f.name}")
+            faults.append(MISSING_COLUMN.format(f.name))
         elif not _compatible(f.dataType, actual[f.name]):
-            faults.append(
-                f"Column {f.name} type mismatch: expected {f.dataType.simpleString()}, "
-                f"got {actual[f.name].simpleString()}"
-            )
+            faults.append(TYPE_MISMATCH.format(f.name, f.dataType.simpleString(), actual[f.name].simpleString()))
     return faults
 
 
@@ -57,7 +63,7 @@ def schema_errors(df: DataFrame, expected: T.StructType = CONVERSATION) -> DataF
     """All findings of the schema check as rows of ``error``; none means valid."""
     faults = _schema_faults(df, expected)
     found = required_field_counts(df, expected).filter(F.col("n") > 0).select(
-        F.format_string("Found %d %s values in required field: %s", "n", "check", "field").alias("error")
+        F.format_string(BAD_VALUES, "n", "check", "field").alias("error")
     )
     if not faults:
         return found
@@ -97,17 +103,14 @@ def embedding_profile(df: DataFrame, expected_dim: int | None = None) -> DataFra
 
 def validate_embeddings(df: DataFrame, expected_dim: int | None = None) -> tuple[bool, list[str]]:
     if "embedding" not in df.columns:
-        return False, ["Missing 'embedding' column"]
+        return False, [NO_EMBEDDINGS]
     row = embedding_profile(df, expected_dim).first()
-    errors = []
-    if row["null_embeddings"]:
-        errors.append(f"Found {row['null_embeddings']} null embeddings")
-    if row["empty_embeddings"]:
-        errors.append(f"Found {row['empty_embeddings']} empty embeddings")
-    if row["wrong_dimension"]:
-        errors.append(
-            f"Found {row['wrong_dimension']} embeddings with wrong dimension (expected {row['expected_dim']})"
-        )
+    findings = {
+        NULL_EMBEDDINGS: row["null_embeddings"],
+        EMPTY_EMBEDDINGS: row["empty_embeddings"],
+        WRONG_DIMENSION: row["wrong_dimension"],
+    }
+    errors = [text.format(n, row["expected_dim"]) for text, n in findings.items() if n]
     return not errors, errors
 
 
