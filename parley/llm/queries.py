@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, exact, simhash, token_output
+from parley.llm import bpe, exact, language, quality, simhash, token_output, toxicity
+from parley.llm.common import held_out
 from parley.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,12 +40,33 @@ def op2_byte_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@query
+def op3_toxicity(spark, sf_dir):
+    apart = held_out(F.col("doc_id"), 5, 0)
+    scored = toxicity.train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~apart)
+    return scored.select("doc_id", apart.alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_quality(spark, sf_dir):
+    apart = held_out(F.col("doc_id"), 3, 1)
+    scored = quality.train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~apart)
+    return scored.select("doc_id", apart.alias("held_out"), "score", "predicted")
+
+
 @query
 def op7_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", simhash.hex_print(F.col("fingerprint")))
 
 
+@query
+def op9_language(spark, sf_dir):
+    apart = held_out(F.col("doc_id"), 4, 2)
+    found = language.predict(table(spark, sf_dir, "documents"), ~apart)
+    return found.select("doc_id", apart.alias("held_out"), "lang_pred", "score", F.col("languages.lang").alias("languages"))
+
+
 @query
 def op10_block_naming(spark, sf_dir):
     return exact.exact_duplicates(table(spark, sf_dir, "documents")).drop("row")
