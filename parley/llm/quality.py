@@ -138,33 +138,40 @@ def word_vectors(contexts: np.ndarray) -> np.ndarray:
     return np.hstack([contexts / np.maximum(norm, 1e-9), own / np.sqrt(NONZERO)]).astype(np.float32)
 
 
-def pool(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
-    """doc_id and ``pooled``: the mean of a document's vectors, the share of different features, the log of their number,
-    and the share of features that come again one to three places later."""
+def pooled_vectors(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
+    """Per text: the mean of its features' vectors, the share of different features, the log of their number, and the
+    share of features that come again one to three places later."""
     buckets, dim = vectors.shape
+    ids, bounds = feature_runs(texts, buckets)
+    out = np.zeros((len(texts), dim + EXTRA), np.float32)
+    for a, b in _slices(bounds):
+        part = ids[bounds[a] : bounds[b]]
+        sizes = np.diff(bounds[a : b + 1])
+        text = np.repeat(np.arange(b - a), sizes)
+        # each different feature of a text once, with its count
+        pairs, n = np.unique(text * buckets + part, return_counts=True)
+        owner = pairs // buckets
+        weighted = vectors[pairs % buckets] * n[:, None]
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        if len(first):
+            out[a + owner[first], :dim] = np.add.reduceat(weighted, first, axis=0)
+        again = np.zeros(len(part), bool)
+        for gap in (1, 2, 3):
+            again[gap:] |= (part[gap:] == part[:-gap]) & (text[gap:] == text[:-gap])
+        out[a:b, dim] = np.bincount(owner, minlength=b - a)
+        out[a:b, dim + 2] = np.bincount(text[again], minlength=b - a)
+        out[a:b] /= np.maximum(sizes, 1)[:, None]
+        out[a:b, dim + 1] = np.log1p(sizes)
+    return out
+
+
+def pool(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
+    """doc_id and ``pooled``, see pooled_vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, bounds = feature_runs(batch.column(1), buckets)
-            out = np.zeros((batch.num_rows, dim + EXTRA), np.float32)
-            for a, b in _slices(bounds):
-                part = ids[bounds[a] : bounds[b]]
-                text = np.repeat(np.arange(b - a), np.diff(bounds[a : b + 1]))
-                # each different feature of a text once, with its count
-                pairs, n = np.unique(text * buckets + part, return_counts=True)
-                owner, sizes = pairs // buckets, np.diff(bounds[a : b + 1])
-                weighted = vectors[pairs % buckets] * n[:, None]
-                first = np.flatnonzero(np.diff(owner, prepend=-1))
-                if len(first):
-                    out[a + owner[first], :dim] = np.add.reduceat(weighted, first, axis=0)
-                out[a:b, :dim] /= np.maximum(sizes, 1)[:, None]
-                out[a:b, dim] = np.bincount(owner, minlength=b - a) / np.maximum(sizes, 1)
-                out[a:b, dim + 1] = np.log1p(sizes)
-                again = np.zeros(len(part), bool)
-                for gap in (1, 2, 3):
-                    again[gap:] |= (part[gap:] == part[:-gap]) & (text[gap:] == text[:-gap])
-                out[a:b, dim + 2] = np.bincount(text[again], minlength=b - a) / np.maximum(sizes, 1)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), dim + EXTRA).cast(pa.list_(pa.float32()))
+            out = pooled_vectors(batch.column(1), vectors)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), out.shape[1]).cast(pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "pooled"])
 
     return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, pooled array<float>")
@@ -239,6 +246,14 @@ def sampled_labels(labels: DataFrame, train_rows: int, id_col: str, label_col: s
     return usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
 
 
+def fit(pooled: DataFrame, chosen: DataFrame, dim: int) -> Network:
+    """The network, trained on the pooled vectors of the labelled rows in ``chosen``, see sampled_labels."""
+    taught = pooled.join(F.broadcast(chosen), "doc_id").select("pooled", "label").toArrow()
+    y = taught["label"].to_numpy().astype(np.float64)
+    x = taught["pooled"].combine_chunks().flatten().to_numpy().reshape(len(y), -1).astype(np.float64)
+    return Network(dim).fit(x, y)
+
+
 def train_and_score(
     df: DataFrame, labels: DataFrame, learn_from: Column, label_col: str = "quality", id_col: str = "doc_id",
     text_col: str = "text", train_rows: int = TRAIN_ROWS,
@@ -250,12 +265,7 @@ def train_and_score(
     docs = texts_of(df, id_col, text_col)
     vectors = word_vectors(context_vectors(docs))
     pooled = materialize(pool(docs, vectors), "pooled")
-    chosen = sampled_labels(labels, train_rows, id_col, label_col, learn_from)
-    # some train_rows short rows, see sampled_labels
-    taught = pooled.join(F.broadcast(chosen), "doc_id").select("pooled", "label").toArrow()
-    y = taught["label"].to_numpy().astype(np.float64)
-    x = taught["pooled"].combine_chunks().flatten().to_numpy().reshape(len(y), -1).astype(np.float64)
-    network = Network(vectors.shape[1] + EXTRA).fit(x, y)
+    network = fit(pooled, sampled_labels(labels, train_rows, id_col, label_col, learn_from), vectors.shape[1] + EXTRA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,3 +276,23 @@ def train_and_score(
             )
 
     return map_batches(pooled, run, f"doc_id {pooled.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+
+
+def drop_poor(
+    df: DataFrame, labels: DataFrame, learn_from: Column, label_col: str = "quality", id_col: str = "doc_id",
+    text_col: str = "text", train_rows: int = TRAIN_ROWS,
+) -> DataFrame:
+    """The rows of ``df``, with all columns, whose score is 0.5 or more. Nothing but sums and training rows is shuffled."""
+    docs = texts_of(df, id_col, text_col)
+    vectors = word_vectors(context_vectors(docs))
+    chosen = sampled_labels(labels, train_rows, id_col, label_col, learn_from)
+    taught = docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    network = fit(pool(taught, vectors), chosen, vectors.shape[1] + EXTRA)
+    place = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = pooled_vectors(batch.column(place).fill_null(""), vectors).astype(np.float64)
+            yield batch.filter(pa.array(network.probability(x) >= 0.5))
+
+    return df.mapInArrow(run, df.schema)

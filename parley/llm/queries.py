@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, exact, language, quality, simhash, token_output, toxicity
+from parley.llm import bpe, decontaminate, exact, language, quality, simhash, token_output, toxicity
 from parley.llm.common import held_out
 from parley.session import scratch_path
 
@@ -60,6 +60,11 @@ def op7_simhash(spark, sf_dir):
     return found.withColumn("fingerprint", simhash.hex_print(F.col("fingerprint")))
 
 
+@query
+def op8_benchmark_leaks(spark, sf_dir):
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_language(spark, sf_dir):
     apart = held_out(F.col("doc_id"), 4, 2)

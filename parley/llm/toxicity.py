@@ -215,7 +215,9 @@ def train_and_score(
 
     @F.arrow_udf("double")
     def probability(raw: pa.Array) -> pa.Array:
-        return pa.array(calibrated(raw.to_numpy(zero_copy_only=False)))
+        margin = raw.to_numpy(zero_copy_only=False)
+        # the calibration has steps; a hundredth of the score still tells margins apart within one
+        return pa.array(0.99 * calibrated(margin) + 0.01 / (1.0 + np.exp(-2.0 * margin)))
 
     scored = _raw_scores(model, every.select("doc_id", array_to_vector("features").alias("features")))
     scored = scored.select("doc_id", probability.asNondeterministic()("raw").alias("score"))
