@@ -268,12 +268,12 @@ def safe_parts(text: str, most: int = CHUNK_CHARS) -> Iterator[str]:
 
 
 class Encoded:
-    """A chunk of texts as ids. ``ids`` flat with ``bounds`` by text; ``piece_tokens`` and ``piece_bytes`` keep the offsets."""
+    """A chunk of texts as ids: ``ids`` flat with ``bounds`` by text. The pieces' bytes, characters and ids keep the offsets."""
 
-    __slots__ = ("ids", "bounds", "piece_bytes", "piece_tokens", "piece_bounds")
+    __slots__ = ("ids", "bounds", "piece_bytes", "piece_tokens", "piece_bounds", "piece_chars")
 
-    def __init__(self, ids, bounds, piece_bytes, piece_tokens, piece_bounds):
-        self.ids, self.bounds = ids, bounds
+    def __init__(self, ids, bounds, piece_bytes, piece_tokens, piece_bounds, piece_chars):
+        self.ids, self.bounds, self.piece_chars = ids, bounds, piece_chars
         self.piece_bytes, self.piece_tokens, self.piece_bounds = piece_bytes, piece_tokens, piece_bounds
 
 
@@ -281,8 +281,9 @@ def _cache_of(path: str) -> PieceCache:
     return worker_state(f"bpe:{path}", lambda: PieceCache(Merges(read_ranks(path)).encode))
 
 
-def cut_pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
-    """The pieces of all texts as one binary array over their joined bytes, and where each text's pieces begin."""
+def cut_pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The pieces of all texts as one binary array over their joined bytes, where each text's pieces begin, and the
+    pieces' lengths in characters."""
     joined = "\x00".join([*texts, ""])
     code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -300,11 +301,11 @@ def cut_pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
     keep = np.ones(len(starts), bool)
     keep[marks] = False
     bounds = np.concatenate([[0], np.cumsum(np.diff(np.concatenate([[-1], marks])) - 1)])
-    return pieces.filter(pa.array(keep)), bounds
+    return pieces.filter(pa.array(keep)), bounds, np.diff(np.append(starts, len(code)))[keep]
 
 
 def encode_texts(texts: list[str], path: str) -> Encoded:
-    pieces, bounds = cut_pieces(texts)
+    pieces, bounds, chars = cut_pieces(texts)
     known = pieces.dictionary_encode()
     flat, starts, lengths = _cache_of(path).lookup(known.dictionary.to_pylist())
     index = known.indices.to_numpy()
@@ -312,7 +313,7 @@ def encode_texts(texts: list[str], path: str) -> Encoded:
     ids = take_ragged(flat, starts[index], tokens)
     sizes = np.diff(np.frombuffer(pieces.buffers()[1], np.int32, len(pieces) + 1, pieces.offset * 4)).astype(np.int64)
     ends = np.append(0, np.cumsum(tokens))
-    return Encoded(ids, ends[bounds], sizes, tokens, bounds)
+    return Encoded(ids, ends[bounds], sizes, tokens, bounds, chars)
 
 
 def _vocabulary(path: str) -> pa.Array:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, decontaminate, exact, language, quality, simhash, token_output, toxicity
+from parley.llm import bpe, decontaminate, edit_counts, exact, language, license_rules, quality, simhash, token_output, toxicity
 from parley.llm.common import held_out
 from parley.session import scratch_path
 
@@ -47,6 +47,33 @@ def op3_toxicity(spark, sf_dir):
     return scored.select("doc_id", apart.alias("held_out"), "score", "predicted")
 
 
+@query
+def op4_licences(spark, sf_dir):
+    found = license_rules.scan_licences(table(spark, sf_dir, "documents"))
+    return found.withColumn("sentences", F.concat_ws(",", "sentences"))
+
+
+@query
+def op5_edit_counts(spark, sf_dir):
+    """Three edits of every document, at a quarter, half and three quarters of the text that is there by then."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    n = F.length(F.coalesce(F.col("text"), F.lit("")))
+    cut = F.least(n - F.floor(n / 4), F.lit(10))
+
+    def edit(begin, end, new):
+        return F.struct(begin.cast("int").alias("begin"), end.cast("int").alias("end"), F.lit(new).alias("replacement"))
+
+    left = n - cut
+    half, late = F.floor(left / 2), F.floor(left * 3 / 4)
+    edits = F.array(
+        edit(F.floor(n / 4), F.floor(n / 4) + cut, ""), edit(half, half + 5, "redacted"), edit(late, late, " [removed] ")
+    )
+    counted = edit_counts.count_tokens(table(spark, sf_dir, "documents"), ranks, keep={"edits": edits})
+    return edit_counts.recount(counted, ranks).select(
+        "doc_id", "n_tokens_before", "n_tokens", F.length("text").alias("n_chars"), "encoded_chars"
+    )
+
+
 @query
 def op6_quality(spark, sf_dir):
     apart = held_out(F.col("doc_id"), 3, 1)
