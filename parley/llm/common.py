@@ -26,6 +26,14 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it; Spark does not tell capitals apart."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text has the given remainder; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

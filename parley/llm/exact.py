@@ -21,6 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm.common import free_name
 from parley.session import materialize
 
 BLOCK_BYTES = 4096
@@ -123,7 +124,8 @@ def exact_duplicates(
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns. ``df`` is read twice, so pass a stored table."""
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    found = exact_duplicates(numbered, id_col, text_col, F.col("_row"))
-    dropped = found.filter(~F.col("kept")).select(F.col("row").alias("_row"))
-    return numbered.join(dropped, "_row", "left_anti").drop("_row")
+    row = free_name(df.columns, "_row")
+    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    found = exact_duplicates(numbered, id_col, text_col, F.col(row))
+    dropped = found.filter(~F.col("kept")).select(F.col("row").alias(row))
+    return numbered.join(dropped, row, "left_anti").select(*df.columns)

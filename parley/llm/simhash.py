@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import map_batches, texts_of
+from parley.llm.common import free_name, map_batches, texts_of
 from parley.llm.components import components
 from parley.session import materialize
 
@@ -187,7 +187,11 @@ def hex_print(column: Column) -> Column:
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, the first by doc_id, with all its columns. ``df`` is read twice, so pass a stored table."""
     # rows are numbered, as ids may repeat or be null
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    keyed = near_duplicates(numbered.select(F.struct(F.col(id_col).alias("id"), "_row").alias("key"), F.col(text_col).alias("text")), "key", "text")
-    dropped = keyed.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id._row").alias("_row"))
-    return numbered.join(dropped, "_row", "left_anti").drop("_row")
+    row = free_name(df.columns, "_row")
+    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    # null ids come last
+    key = F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    keyed = numbered.select(key.alias("key"), F.col(text_col).alias("text"))
+    found = near_duplicates(keyed, "key", "text")
+    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.row").alias(row))
+    return numbered.join(dropped, row, "left_anti").select(*df.columns)

@@ -45,7 +45,7 @@ du dich dir dein deine deinen ihr euch euer""".split()
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _HIDDEN = re.compile(r"[^\W_][*@#$!|0134579+._-]+[^\W_]")
-_PLAIN = str.maketrans("013457@$!|", "oleastasil")
+_PLAIN = str.maketrans("013457@$!|", "oieastasil")
 # Bits of a word's flags.
 STATED, LEARNED, SECOND, SHOUTED, HIDDEN, DECODED = (1 << i for i in range(6))
 FEATURES = (
