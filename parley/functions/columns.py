@@ -48,12 +48,6 @@ def throughput(output_count: Column, duration: Column) -> Column:
     return F.when(duration > 0, output_count / duration).otherwise(F.lit(0.0))
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    """Squared L2 distance of two arrays, for filters and reranking of few rows."""
-    gaps = F.zip_with(a, b, lambda x, y: x.cast("double") - y.cast("double"))
-    return F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g * g)
-
-
 def stringify_nested(df: DataFrame) -> DataFrame:
     """Array, map and struct columns as JSON text, for sinks that take flat rows only."""
     nested = (T.ArrayType, T.MapType, T.StructType)

@@ -24,6 +24,8 @@ NO_EMBEDDINGS = "Missing 'embedding' column"
 NULL_EMBEDDINGS = "Found {} null embeddings"
 EMPTY_EMBEDDINGS = "Found {} empty embeddings"
 WRONG_DIMENSION = "Found {} embeddings with wrong dimension (expected {})"
+# Own text: such vectors have no distance.
+BAD_ELEMENTS = "Found {} embeddings with null or NaN elements"
 
 
 def _compatible(expected: T.DataType, actual: T.DataType) -> bool:
@@ -77,13 +79,13 @@ def validate_schema(df: DataFrame, expected: T.StructType = CONVERSATION) -> tup
 
 
 def embedding_profile(df: DataFrame, expected_dim: int | None = None) -> DataFrame:
-    """One row: total, null, empty and wrong-length embeddings, and the expected length.
+    """One row: total, null, empty and wrong-length embeddings, those with null or NaN elements, and the expected length.
 
     Without ``expected_dim`` the most frequent length is expected. Rows are first counted by length,
     so the second step sees only as many rows as there are lengths.
     """
     lengths = df.groupBy(F.size("embedding").alias("dim"), F.col("embedding").isNull().alias("missing")).agg(
-        F.count("*").alias("n")
+        F.count("*").alias("n"), F.count_if(F.exists("embedding", lambda x: x.isNull() | F.isnan(x))).alias("bad")
     )
     present = ~F.col("missing")
     usual = F.max(F.when(present, F.struct("n", "dim")))["dim"]
@@ -92,6 +94,7 @@ def embedding_profile(df: DataFrame, expected_dim: int | None = None) -> DataFra
         F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("null_embeddings"),
         F.coalesce(F.sum(F.when(present & (F.col("dim") == 0), F.col("n"))), F.lit(0)).alias("empty_embeddings"),
         (F.lit(expected_dim) if expected_dim else usual).cast("int").alias("expected_dim"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_values"),
         F.collect_list(F.when(present, F.struct("dim", "n"))).alias("lengths"),
     )
     off = F.filter("lengths", lambda x: x["dim"] != F.col("expected_dim"))
@@ -109,6 +112,7 @@ def validate_embeddings(df: DataFrame, expected_dim: int | None = None) -> tuple
         NULL_EMBEDDINGS: row["null_embeddings"],
         EMPTY_EMBEDDINGS: row["empty_embeddings"],
         WRONG_DIMENSION: row["wrong_dimension"],
+        BAD_ELEMENTS: row["bad_values"],
     }
     errors = [text.format(n, row["expected_dim"]) for text, n in findings.items() if n]
     return not errors, errors
@@ -156,11 +160,13 @@ def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFr
     nested = (T.ArrayType, T.MapType, T.StructType)
     parts = [
         F.coalesce(
-            F.to_json(n) if isinstance(df.schema[n].dataType, nested) else F.col(n).cast("string"), F.lit("\\N")
+            F.to_json(n) if isinstance(df.schema[n].dataType, nested) else F.col(n).cast("string"), F.lit("")
         )
         for n in names
     ]
-    digest = F.sha2(F.concat_ws("\u0001", *parts), 256)
+    # told apart from empty texts by a mask
+    nulls = F.concat(*[F.col(n).isNull().cast("int").cast("string") for n in names])
+    digest = F.sha2(F.concat_ws("\u0001", *parts, nulls), 256)
     prefix = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
     return df.agg(
         F.count("*").alias("row_count"), F.coalesce(F.sum(prefix), F.lit(0)).cast("string").alias("content_sum")

@@ -67,10 +67,3 @@ def ranked_values(
         .agg(*[F.min(F.when(F.col("name") == k, F.col("v"))).alias(k) for k in shares])
     )
     return sketch.drop("splits").join(found, group, "left")
-
-
-def sketched_values(df: DataFrame, group: str, value: Column, shares: dict[str, float], accuracy: int = 10_000) -> DataFrame:
-    """The same from the sketch alone: one pass, rank error at most n / accuracy."""
-    return df.groupBy(group).agg(
-        *[F.percentile_approx(value, p, accuracy).alias(name) for name, p in shares.items()]
-    )

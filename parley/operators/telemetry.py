@@ -50,10 +50,6 @@ def run_summary(runs: DataFrame, steps: DataFrame) -> DataFrame:
     ).withColumn("total_records_processed", records.scalar())
 
 
-def latest_run(runs: DataFrame) -> DataFrame:
-    return recent_runs(runs, 1)
-
-
 def latency_anomalies(
     steps: DataFrame,
     threshold: float = THRESHOLD,

@@ -20,6 +20,8 @@ from parley.sources import tables
 from parley.streaming import events as stream
 
 DIM = views.EMBEDDING_DIM
+# cells of the exact searches: several at every size of the test tables
+CELLS = 16
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -61,7 +63,7 @@ def micros(c: Column, scale: int = 1_000_000) -> Column:
 @query
 def ingest_clean(spark, sf_dir):
     """Every event delivered twice, as after a replay, then cleaned."""
-    raw = views.interactions(spark, sf_dir, message=True, whole_text=True).drop("event_id")
+    raw = views.interactions(spark, sf_dir, message=True).drop("event_id")
     cleaned = event_source.clean(raw.unionByName(raw))
     return flat(
         cleaned.select(
@@ -177,7 +179,7 @@ def document_stats(spark, sf_dir):
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = views.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("event_id"), "embedding")
-    return views.interactions(spark, sf_dir, message=True, whole_text=True).join(vectors, "event_id", "left")
+    return views.interactions(spark, sf_dir, message=True).join(vectors, "event_id", "left")
 
 
 @query
@@ -199,7 +201,7 @@ def detect_anomalies(spark, sf_dir):
 
 @query
 def table_fingerprint(spark, sf_dir):
-    df = views.interactions(spark, sf_dir, message=True, whole_text=True)
+    df = views.interactions(spark, sf_dir, message=True)
     return quality.table_fingerprint(df, ["event_id", "userid", "campaign", "timestamp", "message"])
 
 
@@ -231,7 +233,15 @@ def graph_edges_window(spark, sf_dir):
 
 @query
 def user_similarity(spark, sf_dir):
-    return graph.user_similarity(views.interactions(spark, sf_dir))
+    """Blocks of 40, so that a campaign's users fill several."""
+    return graph.user_similarity(views.interactions(spark, sf_dir), block=40)
+
+
+@query
+def similar_users_all(spark, sf_dir):
+    """Blocks of 64 users, so that several pairs of blocks occur."""
+    found = graph.similar_users_all(views.interactions(spark, sf_dir), block=64)
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query
@@ -244,6 +254,13 @@ def campaigns_for_users(spark, sf_dir):
     return flat(graph.campaigns_for_users(views.interactions(spark, sf_dir), ["u1", "u2", "u3", "u5", "u8"]))
 
 
+@query
+def campaigns_for_user_table(spark, sf_dir):
+    wealthy = views.table(spark, sf_dir, "customer").filter("c_acctbal > 5000")
+    users = wealthy.select(F.concat(F.lit("u"), F.col("c_custkey")).alias("userid"))
+    return flat(graph.campaigns_for_users(views.interactions(spark, sf_dir), users))
+
+
 def _everyone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.table(spark, sf_dir, "customer").select(F.concat(F.lit("u"), F.col("c_custkey")).alias("user_id"))
 
@@ -416,7 +433,7 @@ def _hits(df: DataFrame) -> DataFrame:
 def knn_exact(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
     queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
-    return _hits(knn.knn(queries, knn.build_index(vectors, DIM), 5))
+    return _hits(knn.knn(queries, knn.build_index(vectors, DIM, nlist=CELLS), 5, vector_block=200, query_block=50))
 
 
 @query
@@ -424,7 +441,7 @@ def knn_filtered(spark, sf_dir):
     """Search after a metadata filter: only vectors of one label are candidates."""
     vectors = _vectors(spark, sf_dir)
     queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
-    return _hits(knn.knn(queries, knn.build_index(vectors.filter(F.col("label") == 3), DIM), 5))
+    return _hits(knn.knn(queries, knn.build_index(vectors.filter(F.col("label") == 3), DIM, nlist=CELLS), 5))
 
 
 @query
@@ -435,6 +452,26 @@ def knn_ivf(spark, sf_dir):
     return _hits(knn.knn(queries, index, 5, nprobe=knn.NPROBE))
 
 
+@query
+def knn_ivf_all_cells(spark, sf_dir):
+    """The approximate search with every cell probed, over an index that was saved and loaded: exact."""
+    vectors = _vectors(spark, sf_dir)
+    queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
+    path = scratch_path(spark, "index")
+    knn.build_index(vectors, DIM, nlist=CELLS, trainer="kmeans").save(path)
+    return _hits(knn.knn(queries, knn.load_index(spark, path), 5, nprobe=CELLS))
+
+
+@query
+def knn_ivf_recall(spark, sf_dir):
+    """How many exact neighbours a search of few cells finds: at least 0.9 of them."""
+    vectors = _vectors(spark, sf_dir)
+    queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
+    index = knn.build_index(vectors, DIM, nlist=CELLS, trainer="kmeans")
+    found = knn.recall(knn.knn(queries, index, 5, nprobe=12), knn.knn(queries, index, 5))
+    return found.select("expected", (F.col("recall") >= 0.9).alias("enough"))
+
+
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored vector table that the recommendation steps read."""
     return materialize(graph.with_message_id(views.embedded(spark, sf_dir)), "embedded")
@@ -448,7 +485,7 @@ def user_centroids(spark, sf_dir):
 
 @query
 def similar_users_vector(spark, sf_dir):
-    similar = recommend.similar_users_vector(_messages(spark, sf_dir), DIM)
+    similar = recommend.similar_users_vector(_messages(spark, sf_dir), DIM, nlist=CELLS)
     return flat(similar.withColumn("rank", F.col("rank").cast("bigint")))
 
 
@@ -463,13 +500,13 @@ def _flat_recommendations(df: DataFrame) -> DataFrame:
 
 @query
 def recommendations(spark, sf_dir):
-    return _flat_recommendations(recommend.recommendations(_messages(spark, sf_dir), DIM))
+    return _flat_recommendations(recommend.recommendations(_messages(spark, sf_dir), DIM, search="exact", nlist=CELLS))
 
 
 @query
 def recommendations_filtered(spark, sf_dir):
     return _flat_recommendations(
-        recommend.recommendations(_messages(spark, sf_dir), DIM, min_confidence=0.7, include_explanation=False)
+        recommend.recommendations(_messages(spark, sf_dir), DIM, search="exact", nlist=CELLS, min_confidence=0.7, include_explanation=False)
     )
 
 
@@ -478,7 +515,7 @@ def recommendations_fallback(spark, sf_dir):
     everyone = views.interactions(spark, sf_dir).select("userid").distinct()
     return _flat_recommendations(
         recommend.recommendations(
-            _messages(spark, sf_dir), DIM, include_explanation=False, fallback=True, users=everyone
+            _messages(spark, sf_dir), DIM, search="exact", nlist=CELLS, include_explanation=False, fallback=True, users=everyone
         )
     )
 
@@ -489,6 +526,14 @@ def recommendations_two_stage(spark, sf_dir):
     return _flat_recommendations(recommend.recommendations(_messages(spark, sf_dir), DIM, search="ivf"))
 
 
+@query
+def recommendations_ivf_all_cells(spark, sf_dir):
+    """The two-stage way with every cell probed: the same as the exact one."""
+    return _flat_recommendations(
+        recommend.recommendations(_messages(spark, sf_dir), DIM, search="ivf", nlist=CELLS, nprobe=CELLS)
+    )
+
+
 @query
 def stream_daily_counts(spark, sf_dir):
     """The events as a stream into a table of daily counts."""
@@ -500,6 +545,6 @@ def stream_daily_counts(spark, sf_dir):
         .parquet(sf_dir)
         .select(campaign.alias("campaign"), F.col("ts").cast("timestamp").alias("timestamp"))
     )
-    table = tables.VersionedTable(spark, scratch_path(spark, "daily_counts"), stream.DAILY_COUNTS)
-    stream.maintain_daily_counts(arriving, table, delay="31 days").awaitTermination()
-    return flat(table.read())
+    path = scratch_path(spark, "daily_counts")
+    stream.maintain_daily_counts(arriving, path, scratch_path(spark, "stream"), delay="31 days").awaitTermination()
+    return flat(spark.read.schema(stream.DAILY_COUNTS).parquet(path))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parley import schemas
@@ -16,7 +16,7 @@ from parley.operators import graph, metrics, quality, telemetry
 from parley.operators.embed import EMBEDDING_DIM, embed
 from parley.operators.recommend import recommendations
 from parley.plans.report import analytics_report
-from parley.session import scratch_scope
+from parley.session import materialize, scratch_scope
 from parley.sources import tables
 from parley.sources.events import ingest
 
@@ -88,11 +88,22 @@ class RunLog:
         ):
             if rows:
                 self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
+        keep_latest(self.spark, f"{self.root}/runs", telemetry.KEEP_RUNS, [F.desc("start_time"), F.desc("run_id")])
 
 
-def log_requests(spark: SparkSession, rows: list[dict], root: str) -> None:
-    """Append served requests to the request log that the latency statistics read."""
-    spark.createDataFrame(rows, schemas.REQUEST_LOG).coalesce(1).write.mode("append").parquet(f"{root}/request_log")
+def keep_latest(spark: SparkSession, path: str, n: int, order: list[Column]) -> None:
+    """Rewrite a log to its latest ``n`` rows, once it has twice as many. The new rows are stored before the old go."""
+    log = spark.read.parquet(path)
+    if log.count() > 2 * n:
+        kept = materialize(telemetry.retain_last(log, n, order), "kept_log")
+        kept.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def log_requests(requests: DataFrame, root: str, keep: int = telemetry.KEEP_REQUESTS) -> None:
+    """Append served requests (a table, as read from JSON Lines) to the log that the latency statistics read."""
+    path = f"{root}/request_log"
+    requests.select(*schemas.REQUEST_LOG.names).write.mode("append").parquet(path)
+    keep_latest(requests.sparkSession, path, keep, [F.desc("timestamp")])
 
 
 def save_monitoring_report(spark: SparkSession, root: str, keep: int = 20) -> None:
@@ -129,7 +140,7 @@ def _write_graph(ids: DataFrame, root: str) -> None:
         ("messages", graph.message_nodes(ids)),
         ("sent", graph.sent_edges(ids)),
         ("about", graph.about_edges(ids)),
-        ("similar_to", graph.user_similarity(ids)),
+        ("similar_to", graph.similar_users_all(ids)),
     ):
         table.write.mode("overwrite").parquet(f"{root}/graph/{name}")
 
@@ -220,4 +231,7 @@ def run_pipeline(
         raise
     log.finish("completed")
     save_monitoring_report(spark, root)
+    # steps of this and earlier runs that took much longer than usual
+    slow = telemetry.latency_anomalies(spark.read.parquet(f"{root}/step_metrics"), order=[F.desc("timestamp")])
+    slow.coalesce(1).write.mode("overwrite").parquet(f"{root}/latency_anomalies")
     return log.run_id

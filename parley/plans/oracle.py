@@ -11,13 +11,23 @@ WHOLE = INTER + """, whole AS (
   LEFT JOIN documents d ON d.doc_id = i.event_id % (SELECT count(*) FROM documents))"""
 
 MSG = WHOLE + """, msg AS (
-  SELECT event_id, userid, campaign, timestamp, substr(message, 1, 1000) AS message,
+  SELECT event_id, userid, campaign, timestamp, message,
     sha256(userid || '|' || coalesce(campaign, 'None') || '|' || CAST(timestamp AS VARCHAR) || '|'
-      || coalesce(substr(message, 1, 1000), 'None')) AS message_id
+      || coalesce(message, 'None')) AS message_id
   FROM whole)"""
 
-EMB = MSG + """, emb AS (
-  SELECT m.*, v.embedding FROM msg m JOIN embeddings v ON v.vec_id = m.event_id)"""
+DOCUMENT_CELLS = r"""tok AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+    lambda t: t <> '')) AS t FROM documents),
+  code AS (SELECT doc_id, h % 64 AS pos, CASE WHEN (h // 64) % 2 = 0 THEN 1 ELSE -1 END AS s
+    FROM (SELECT doc_id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) AS h FROM tok)),
+  cell AS (SELECT doc_id, pos, sum(s)::DOUBLE AS v FROM code GROUP BY ALL),
+  norm AS (SELECT doc_id, sqrt(sum(v * v)) AS l FROM cell GROUP BY 1)"""
+
+EMB = MSG + f""", {DOCUMENT_CELLS},
+  vec AS (SELECT d.doc_id, list(coalesce(CASE WHEN n.l > 0 THEN c.v / n.l END, 0)::FLOAT ORDER BY p.pos) AS embedding
+    FROM documents d CROSS JOIN (SELECT unnest(range(64)) AS pos) p
+    LEFT JOIN cell c ON c.doc_id = d.doc_id AND c.pos = p.pos LEFT JOIN norm n ON n.doc_id = d.doc_id GROUP BY d.doc_id),
+  emb AS (SELECT m.*, v.embedding FROM msg m JOIN vec v ON v.doc_id = m.event_id % (SELECT count(*) FROM documents))"""
 
 ORD = """ord AS (
   SELECT 'u' || o_custkey AS userid, o_orderpriority AS campaign, o_orderdate AS timestamp FROM orders)"""
@@ -50,8 +60,7 @@ SQL_DISTANCE = (
     "list_sum(list_transform(list_zip({a}, {b}), lambda x: (x[1]::DOUBLE - x[2]::DOUBLE) * (x[1]::DOUBLE - x[2]::DOUBLE)))"
 )
 
-CENTROIDS = """spread AS (SELECT userid, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS pos FROM emb
-    QUALIFY dense_rank() OVER (PARTITION BY userid ORDER BY timestamp DESC, message_id) <= 1000),
+CENTROIDS = """spread AS (SELECT userid, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS pos FROM emb),
   cents AS (SELECT userid, list(v ORDER BY pos) AS centroid
     FROM (SELECT userid, pos, avg(v) AS v FROM spread GROUP BY ALL) GROUP BY userid)"""
 
@@ -167,7 +176,8 @@ UNION ALL SELECT 'Found ' || n || ' empty values in required field: message'
 FROM (SELECT count(*) FILTER (trim(message) = '') AS n FROM checked) WHERE n > 0""",
     "validate_embeddings": f"""WITH {QUALITY} SELECT count(*) AS total_records,
   count(*) FILTER (embedding IS NULL) AS null_embeddings, count(*) FILTER (len(embedding) = 0) AS empty_embeddings,
-  64 AS expected_dim, count(*) FILTER (len(embedding) <> 64) AS wrong_dimension FROM checked""",
+  64 AS expected_dim, count(*) FILTER (len(embedding) <> 64) AS wrong_dimension,
+  count(*) FILTER (len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) > 0) AS bad_values FROM checked""",
     "detect_anomalies": f"""WITH {QUALITY}, c AS (SELECT
   count(*) FILTER (embedding IS NULL OR len(embedding) = 0) AS empty_embeddings, 0::BIGINT AS missing_relationships,
   count(*) FILTER (timestamp IS NULL) AS invalid_timestamps,
@@ -178,7 +188,9 @@ FROM (SELECT count(*) FILTER (trim(message) = '') AS n FROM checked) WHERE n > 0
 SELECT *, round((empty_embeddings + invalid_timestamps + empty_messages + missing_campaigns) / total_records, 6)
   AS anomaly_rate FROM c""",
     "table_fingerprint": f"""WITH {WHOLE}, h AS (SELECT sha256(event_id || chr(1) || userid || chr(1)
-  || coalesce(campaign, '\\N') || chr(1) || CAST(timestamp AS VARCHAR) || chr(1) || coalesce(message, '\\N')) AS h FROM whole)
+  || coalesce(campaign, '') || chr(1) || CAST(timestamp AS VARCHAR) || chr(1) || coalesce(message, '') || chr(1)
+  || '00' || CASE WHEN campaign IS NULL THEN '1' ELSE '0' END || '0' || CASE WHEN message IS NULL THEN '1' ELSE '0' END) AS h
+  FROM whole)
 SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(h, 1, 15) AS HUGEINT)) AS VARCHAR) AS content_sum FROM h""",
     "graph_nodes": f"""WITH {MSG} SELECT DISTINCT 'User' AS label, userid AS id FROM msg
 UNION ALL SELECT DISTINCT 'Campaign', campaign FROM msg WHERE campaign IS NOT NULL
@@ -190,6 +202,12 @@ UNION ALL SELECT DISTINCT 'ABOUT', message_id, campaign FROM msg WHERE campaign
 WHERE timestamp >= TIMESTAMP '2024-01-21'""",
     "user_similarity": f"""WITH {INTER}, {PAIRS} SELECT a.userid AS src, b.userid AS dst, count(*) AS weight
 FROM pairs a JOIN pairs b ON a.campaign = b.campaign AND a.userid < b.userid GROUP BY ALL""",
+    "similar_users_all": f"""WITH {INTER}, {PAIRS} SELECT a.userid AS user_id, b.userid AS neighbour, count(*) AS weight,
+  CAST(row_number() OVER (PARTITION BY a.userid ORDER BY count(*) DESC, b.userid) AS BIGINT) AS rank
+FROM pairs a JOIN pairs b ON a.campaign = b.campaign AND a.userid <> b.userid GROUP BY a.userid, b.userid QUALIFY rank <= 5""",
+    "campaigns_for_user_table": f"""WITH {INTER}, {PAIRS} SELECT campaign AS campaign_id, count(*) AS user_count,
+  string_agg(userid, ',' ORDER BY userid) AS user_list FROM pairs
+WHERE userid IN (SELECT 'u' || c_custkey FROM customer WHERE c_acctbal > 5000) GROUP BY 1""",
     "similar_users_graph": f"""WITH {INTER}, {PAIRS} SELECT b.userid AS user_id, count(*) AS similarity
 FROM pairs a JOIN pairs b ON a.campaign = b.campaign AND a.userid <> b.userid WHERE a.userid = 'u1'
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
@@ -249,13 +267,9 @@ ORDER BY runs.start_time DESC, seq DESC LIMIT 20""",
     max(duration_seconds) FILTER (age = 1) AS duration FROM last10 GROUP BY 1)
 SELECT step_name, round(duration, 6) AS duration, round(expected_max, 6) AS expected_max,
   round(duration - expected_max, 6) AS deviation FROM s WHERE n >= 2 AND duration > expected_max""",
-    "embed_messages": r"""WITH tok AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
-    lambda t: t <> '')) AS t FROM documents),
-  code AS (SELECT doc_id, h % 64 AS pos, CASE WHEN (h // 64) % 2 = 0 THEN 1 ELSE -1 END AS s
-    FROM (SELECT doc_id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) AS h FROM tok)),
-  cell AS (SELECT doc_id, pos, sum(s)::DOUBLE AS v FROM code GROUP BY ALL),
-  norm AS (SELECT doc_id, sqrt(sum(v * v)) AS l FROM cell GROUP BY 1)
-SELECT doc_id, CAST(pos AS INT) AS position, round((v / l)::FLOAT::DOUBLE, 6) AS value FROM cell JOIN norm USING (doc_id) WHERE v <> 0""",
+    "embed_messages": f"""WITH {DOCUMENT_CELLS}
+SELECT doc_id, CAST(pos AS INT) AS position, round((v / l)::FLOAT::DOUBLE, 6) AS value FROM cell JOIN norm USING (doc_id)
+WHERE v <> 0""",
     "user_centroids": f"""WITH {EMB}, {CENTROIDS} SELECT userid, array_to_string(list_transform(centroid, lambda x:
   CAST(round(x * 100000) AS BIGINT)), ',') AS centroid FROM cents""",
     "knn_exact": f"""WITH g AS (SELECT a.vec_id AS qid, b.vec_id AS id, {SQL_DISTANCE.format(a='a.embedding', b='b.embedding')} AS d
@@ -279,3 +293,8 @@ SELECT userid, campaign, round(0.5 * n / (SELECT max(n) FROM top), 6), round(0.6
     "stream_daily_counts": f"""WITH {INTER} SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS activity_date,
   campaign AS campaign_id, count(*) AS message_count, CAST(max(timestamp) AS VARCHAR) AS last_message FROM inter GROUP BY ALL""",
 }
+
+# the same answers by another way: every cell probed, and what a search of few cells still finds
+SQL["knn_ivf_all_cells"] = SQL["knn_exact"]
+SQL["recommendations_ivf_all_cells"] = SQL["recommendations"]
+SQL["knn_ivf_recall"] = "SELECT 5 * count(*) AS expected, true AS enough FROM embeddings"

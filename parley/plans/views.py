@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.functions.columns import MAX_MESSAGE_CHARS
+from parley.operators.embed import embed
 
 EMBEDDING_DIM = 64
 
@@ -14,8 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def interactions(spark: SparkSession, sf_dir: str, message: bool = False, whole_text: bool = False) -> DataFrame:
-    """events as interactions. Campaign is NULL for k = 0; the message, if asked for, is a document's text."""
+def interactions(spark: SparkSession, sf_dir: str, message: bool = False, embedding: bool = False) -> DataFrame:
+    """events as interactions. Campaign is NULL for k = 0.
+
+    The message, if asked for, is a document's whole text; ``embedding`` adds its vector, made once per document.
+    """
     # one evaluation of the JSON path per row
     campaign = F.nullif(F.concat(F.lit("c"), F.get_json_object("props", "$.k")), F.lit("c0"))
     events = table(spark, sf_dir, "events").select(
@@ -28,12 +31,10 @@ def interactions(spark: SparkSession, sf_dir: str, message: bool = False, whole_
         return events
     documents = table(spark, sf_dir, "documents")
     n_documents = documents.agg(F.count("*").alias("n")).scalar()
-    text = F.col("text") if whole_text else F.substring("text", 1, MAX_MESSAGE_CHARS)
-    return (
-        events.withColumn("doc_id", F.col("event_id") % n_documents)
-        .join(documents.select("doc_id", text.alias("message")), "doc_id", "left")
-        .drop("doc_id")
-    )
+    texts = documents.select("doc_id", F.col("text").alias("message"))
+    if embedding:
+        texts = embed(texts, "message", dim=EMBEDDING_DIM)
+    return events.withColumn("doc_id", F.col("event_id") % n_documents).join(texts, "doc_id", "left").drop("doc_id")
 
 
 def order_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,17 +46,9 @@ def order_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select(
-        F.concat(F.lit("u"), F.col("conv_id")).alias("userid"), "turn", F.col("role").alias("campaign"),
-        F.col("text").alias("message"),
-    )
-
-
 def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector with the message of the same number."""
-    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("event_id"), "embedding")
-    return interactions(spark, sf_dir, message=True).join(vectors, "event_id")
+    """All interactions with their messages and the messages' vectors."""
+    return interactions(spark, sf_dir, message=True, embedding=True)
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +14,7 @@ from parley.schemas import DOCUMENT, TABLES, VECTOR_TABLE, conform
 from parley.session import delete_path, materialize
 
 
-def _list_dirs(spark: SparkSession, path: str) -> list[str]:
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -37,7 +39,7 @@ class VersionedTable:
     def _versions(self) -> list[int]:
         return sorted(
             int(d.removeprefix("version="))
-            for d in _list_dirs(self.spark, self.path)
+            for d in list_dirs(self.spark, self.path)
             if d.startswith("version=") and _exists(self.spark, f"{self.path}/{d}/_SUCCESS")
         )
 
@@ -90,7 +92,7 @@ def store_documents(spark: SparkSession, df: DataFrame, path: str) -> dict[str,
     """
     batch = materialize(conform(documents(df), DOCUMENT).withColumn("day", F.to_date("timestamp")), "batch")
     schema = T.StructType([*DOCUMENT.fields, T.StructField("day", T.DateType())])
-    if _list_dirs(spark, path):
+    if list_dirs(spark, path):
         # calendar days: a short list whatever the size of the batch, and it prunes partitions statically
         days = [r["day"] for r in batch.select("day").distinct().collect()]
         touched = F.col("day").isin([d for d in days if d is not None])
@@ -243,9 +245,13 @@ def compact(spark: SparkSession, source: str, target: str) -> None:
 
 
 def expire_days(spark: SparkSession, path: str, before: str, column: str = "day") -> list[str]:
-    """Drop the partitions of days before ``before`` (YYYY-MM-DD) from a table partitioned by day."""
-    days = [d.removeprefix(f"{column}=") for d in _list_dirs(spark, path) if d.startswith(f"{column}=2")]
-    old = sorted(d for d in days if d < before)
+    """Drop the partitions of days before ``before`` (YYYY-MM-DD) from a table partitioned by day.
+
+    The partition of rows without a day has no age, so it stays.
+    """
+    days = [d.removeprefix(f"{column}=") for d in list_dirs(spark, path) if d.startswith(f"{column}=")]
+    days = [d for d in days if d != "__HIVE_DEFAULT_PARTITION__"]
+    old = sorted((d for d in days if date.fromisoformat(d) < date.fromisoformat(before)), key=date.fromisoformat)
     for day in old:
         delete_path(spark, f"{path}/{column}={day}")
     return old

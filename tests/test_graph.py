@@ -14,7 +14,8 @@ def test_sample_graph(sample):
     assert graph.graph_edges(sample).count() == 16
     edges = graph.user_similarity(sample)
     assert [tuple(r) for r in graph.similar_users_from_edges(edges, "u2").collect()] == [("u1", 1)]
-    assert graph.top_neighbours(edges).count() == 2
+    best = graph.similar_users_all(sample).orderBy("user_id").collect()
+    assert [tuple(r) for r in best] == [("u1", "u2", 1, 1), ("u2", "u1", 1, 1)]
 
 
 def _pairs_by_hand(rows):
@@ -41,6 +42,14 @@ def test_similarity_with_a_hot_campaign_and_equal_sets(spark):
         edges = [tuple(r) for r in graph.user_similarity(df, block).collect()]
         assert len(edges) == len(set(edges))
         assert set(edges) == _pairs_by_hand(rows)
+        best = {}
+        for r in graph.similar_users_all(df, 3, block).collect():
+            best.setdefault(r["user_id"], []).append((-r["weight"], r["neighbour"]))
+        want = {}
+        for a, b, w in _pairs_by_hand(rows):
+            want.setdefault(a, []).append((-w, b))
+            want.setdefault(b, []).append((-w, a))
+        assert {u: sorted(x) for u, x in best.items()} == {u: sorted(x)[:3] for u, x in want.items()}
 
 
 def test_member_pairs_blocks_cover_each_pair_once(spark):

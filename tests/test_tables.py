@@ -183,7 +183,8 @@ def test_pipeline(spark, sample, tmp_path):
     assert read(f"{root}/documents").count() == 8
     assert read(f"{root}/vectors").count() == 8
     assert read(f"{root}/user_activity_daily").count() == 5
-    assert read(f"{root}/graph/similar_to").count() == 1
+    assert read(f"{root}/graph/similar_to").count() == 2
+    assert set(read(f"{root}/latency_anomalies").columns) >= {"step_name", "duration", "expected_max"}
     assert jobs.frequency_table(spark, root).read().count() == 5
     assert read(f"{root}/runs").filter(F.col("status") == "completed").count() == 2
     assert read(f"{root}/step_metrics").filter(F.col("run_id") == run_id).count() == 6
@@ -213,23 +214,23 @@ def test_streams_equal_batch(spark, sample, tmp_path):
     _write_sample(folder / "b.jsonl", sample, lines=True)
     events = stream.read_event_stream(spark, str(folder), files_per_batch=1)
     docs = str(tmp_path / "docs")
-    stream.maintain_documents(events, docs).awaitTermination()
+    stream.maintain_documents(events, docs, str(tmp_path / "cp1")).awaitTermination()
     assert spark.read.parquet(docs).count() == 8
     vectors = str(tmp_path / "vectors")
-    query = stream.maintain_embeddings(events, vectors, dim=16)
+    query = stream.maintain_embeddings(events, vectors, str(tmp_path / "cp2"), dim=16)
     query.awaitTermination()
     assert stream.late_rows(query) == 0
     assert spark.read.parquet(vectors).count() == 8
     expected = {"c1": 3, "c2": 2, "c3": 1, "c4": 1, "c5": 1}
-    running = tables.VersionedTable(spark, str(tmp_path / "running"), stream.DAILY_COUNTS)
-    stream.maintain_daily_counts(events, running).awaitTermination()
-    assert {r["campaign_id"]: r["message_count"] for r in running.read().collect()} == {c: 2 * n for c, n in expected.items()}
+    running = str(tmp_path / "running")
+    stream.maintain_daily_counts(events, running, str(tmp_path / "cp3")).awaitTermination()
+    assert {r["campaign_id"]: r["message_count"] for r in spark.read.parquet(running).collect()} == {c: 2 * n for c, n in expected.items()}
     for name, day in (("y", 3), ("z", 6)):
         later = sample.limit(1).withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(days=F.lit(day)))
         _write_sample(folder / f"{name}.jsonl", later, lines=True)
-    closed = tables.VersionedTable(spark, str(tmp_path / "closed"), stream.DAILY_COUNTS)
-    stream.maintain_daily_counts(events, closed, distinct=True).awaitTermination()
-    first_day = closed.read().filter("activity_date = date'2026-01-10'")
+    closed = str(tmp_path / "closed")
+    stream.maintain_daily_counts(events, closed, str(tmp_path / "cp4"), distinct=True).awaitTermination()
+    first_day = spark.read.parquet(closed).filter("activity_date = date'2026-01-10'")
     assert {r["campaign_id"]: r["message_count"] for r in first_day.collect()} == expected
 
 
@@ -247,11 +248,33 @@ def test_request_log(spark, tmp_path):
 
     at = datetime(2026, 1, 10, tzinfo=timezone.utc)
     row = {"endpoint": "/r", "method": "GET", "status_code": 200, "duration_seconds": 0.5, "user_id": "u1", "timestamp": at}
-    jobs.log_requests(spark, [row, row], str(tmp_path))
+    requests = spark.createDataFrame([row, row], schemas.REQUEST_LOG)
+    jobs.log_requests(requests, str(tmp_path))
     log = spark.read.parquet(str(tmp_path / "request_log"))
     assert telemetry.latency_stats(log, F.lit(at)).first()["p50_latency_ms"] == 500.0
 
 
+def test_logs_are_kept_short(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    rows = [("/r", "GET", 200, 0.1 * i, f"u{i}", datetime(2026, 1, 1 + i, tzinfo=timezone.utc)) for i in range(9)]
+    names = ["endpoint", "method", "status_code", "duration_seconds", "user_id", "timestamp"]
+    requests = spark.createDataFrame([dict(zip(names, r)) for r in rows], schemas.REQUEST_LOG)
+    jobs.log_requests(requests, str(tmp_path), keep=4)
+    kept = spark.read.parquet(str(tmp_path / "request_log"))
+    assert sorted(r["user_id"] for r in kept.collect()) == ["u5", "u6", "u7", "u8"]
+
+
+def test_merged_days_leave_other_days_alone(spark, tmp_path):
+    schema, path = "activity_date date, campaign_id string, message_count long, last_message timestamp", str(tmp_path / "daily")
+    batches = [[("2026-01-01", "a", 1), ("2026-01-02", "a", 5), ("2026-01-01", None, 2)], [("2026-01-01", "a", 3), ("2026-01-03", "b", 1)], []]
+    for rows in batches:
+        batch = spark.createDataFrame(rows, "d string, c string, n long").selectExpr("date(d)", "c", "n", "timestamp'2026-01-05'")
+        stream.merge_days(batch.toDF("activity_date", "campaign_id", "message_count", "last_message"), path, ["activity_date", "campaign_id"])
+    got = {(str(r["activity_date"]), r["campaign_id"]): r["message_count"] for r in spark.read.schema(schema).parquet(path).collect()}
+    assert got == {("2026-01-01", "a"): 3, ("2026-01-01", None): 2, ("2026-01-02", "a"): 5, ("2026-01-03", "b"): 1}
+
+
 def test_scratch_scope_removes_its_tables(spark):
     import os
 

@@ -44,12 +44,32 @@ def test_exact_knn_equals_brute_force(spark, points, nlist, vector_block, query_
     assert all(r["user_id"] == f"u{r['id'] % 7}" for r in hits.collect())
 
 
-def test_copies_beyond_any_answer_are_left_out(spark, points):
-    index = knn.build_index(_table(spark, points), 8, nlist=12)
-    thin = knn.without_spare_copies(index, 3, block=20)
-    # 75 copies of one point shrink to three, all else stays
-    assert thin.rows.count() == 153 == thin.counts.sum()
-    assert knn.without_spare_copies(index, 3) is index
+def test_nan_and_null_elements_have_no_neighbours(spark, points):
+    """A broken vector in every cell changes nothing for the others, and a broken query gets no answer."""
+    x = points[:150]
+    broken = [(1000 + i, [float(v) for v in row], "x") for i, row in enumerate(x[::10])]
+    for i, (_, v, _) in enumerate(broken):
+        v[i % 8] = float("nan") if i % 2 else None
+    table = _table(spark, x)
+    both = table.unionByName(spark.createDataFrame(broken, table.schema))
+    queries = [(i, x[i * 5].astype(float)) for i in range(25)]
+    qdf = spark.createDataFrame([(q, [float(a) for a in v]) for q, v in queries] + [(99, broken[1][1])], "qid long, qvec array<double>")
+    assert _collect(knn.knn(qdf, knn.build_index(both, 8, nlist=12), 5)) == _by_hand(queries, x, 5)
+
+
+def test_saved_index(spark, points, tmp_path):
+    table = _table(spark, points)
+    queries = table.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec")).filter("qid < 20")
+    built = knn.build_index(table, 8, nlist=12)
+    built.save(str(tmp_path / "index"))
+    loaded = knn.load_index(spark, str(tmp_path / "index"))
+    assert _collect(knn.knn(queries, loaded, 5)) == _collect(knn.knn(queries, built, 5))
+    assert _collect(knn.knn(queries, loaded, 5, nprobe=2)) == _collect(knn.knn(queries, built, 5, nprobe=2))
+
+
+def test_cells_are_bounded(spark, points):
+    with pytest.raises(ValueError):
+        knn.build_index(_table(spark, points), 8, nlist=knn.MAX_CELLS + 1)
 
 
 def test_more_neighbours_than_vectors(spark, points):
@@ -74,7 +94,7 @@ def test_index_skips_unusable_vectors(spark, tmp_path):
     index = knn.build_index(df, 2)
     assert [r["id"] for r in index.rows.collect()] == [1]
     index.save(str(tmp_path / "cells"))
-    assert spark.read.parquet(str(tmp_path / "cells")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "cells" / "rows")).count() == 1
 
 
 def test_hash_embedding(spark):
