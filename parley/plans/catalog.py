@@ -534,6 +534,96 @@ def recommendations_ivf_all_cells(spark, sf_dir):
     )
 
 
+def _event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as their source delivers them: four text fields, time with a zone."""
+    time = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return views.interactions(spark, sf_dir, message=True).select("userid", "message", time.alias("timestamp"), "campaign")
+
+
+def _digest(df: DataFrame) -> DataFrame:
+    return flat(df.select("userid", "campaign", "timestamp", F.md5("message").alias("message_md5")))
+
+
+@query
+def events_from_json_lines(spark, sf_dir):
+    """Every event written as JSON Lines and read back, with its processing time set."""
+    path = scratch_path(spark, "json_events")
+    _event_texts(spark, sf_dir).write.json(path)
+    read = event_source.read_events(spark, path, multi_line=False)
+    return _digest(read.filter(F.col("processing_timestamp").isNotNull()))
+
+
+@query
+def events_with_rejects(spark, sf_dir):
+    """The same where each fifth time cannot be read: counts of good and rejected records by reason."""
+    path = scratch_path(spark, "mixed_events")
+    texts = _event_texts(spark, sf_dir)
+    spoilt = F.when(F.col("userid").endswith("5"), "never").otherwise(F.col("timestamp"))
+    texts.withColumn("timestamp", spoilt).write.json(path)
+    good, rejects = event_source.read_events_with_rejects(spark, path)
+    parts = good.select(F.lit("good").alias("reason"), "userid").unionByName(rejects.select("reason", "userid"))
+    return parts.groupBy("reason", "userid").agg(F.count("*").alias("n"))
+
+
+@query
+def raw_events_by_day(spark, sf_dir):
+    """Raw events stored by day, twice, and read back: a rerun doubles nothing."""
+    path, events = scratch_path(spark, "raw_events"), views.interactions(spark, sf_dir, message=True).drop("event_id")
+    for _ in range(2):
+        event_source.write_raw_by_date(events, path)
+    return _digest(spark.read.parquet(path).filter(F.col("event_date") == F.to_date("timestamp")))
+
+
+@query
+def embeddings_stored(spark, sf_dir):
+    """All messages with their vectors, saved and loaded."""
+    path = scratch_path(spark, "embeddings")
+    tables.save_embeddings(views.embedded(spark, sf_dir), path)
+    return tables.load_embeddings(spark, path).select("event_id", micros(F.col("embedding")).alias("embedding"))
+
+
+@query
+def csv_export(spark, sf_dir):
+    """User engagement as CSV, read back as text."""
+    path = scratch_path(spark, "csv")
+    engagement = metrics.user_engagement(views.interactions(spark, sf_dir))
+    tables.export_csv(engagement.withColumn("last_active", F.col("last_active").cast("string")), path)
+    read = spark.read.option("header", True).option("escape", "\\").csv(path)
+    return read.withColumn("message_count", F.col("message_count").cast("bigint"))
+
+
+@query
+def document_store(spark, sf_dir):
+    """History, then an overlapping batch, put into the stored document table: ids and what the second write did."""
+    path, df = scratch_path(spark, "documents"), views.interactions(spark, sf_dir, message=True)
+    tables.store_documents(spark, df.filter(F.col("timestamp") < HISTORY_END), path)
+    done = tables.store_documents(spark, df.filter(F.col("timestamp") >= ARRIVING_FROM), path)
+    stored = spark.read.parquet(path).select("message_id", "userid", F.md5("message").alias("message_md5"))
+    return stored.select("*", *[F.lit(done[k]).cast("bigint").alias(k) for k in ("inserted", "updated")])
+
+
+@query
+def stream_documents(spark, sf_dir):
+    """The messages as a stream into the document table; every one arrives twice."""
+    source, path = scratch_path(spark, "arriving"), scratch_path(spark, "stream_documents")
+    texts = _event_texts(spark, sf_dir)
+    texts.unionByName(texts).write.json(source)
+    arriving = stream.read_event_stream(spark, source)
+    stream.maintain_documents(arriving, path, scratch_path(spark, "stream"), delay="31 days").awaitTermination()
+    return spark.read.parquet(path).select("message_id", "userid", F.md5("message").alias("message_md5"))
+
+
+@query
+def stream_embeddings(spark, sf_dir):
+    """The messages as a stream, embedded per micro-batch and compacted."""
+    source, path, whole = (scratch_path(spark, n) for n in ("arriving", "stream_vectors", "compacted"))
+    _event_texts(spark, sf_dir).write.json(source)
+    arriving = stream.read_event_stream(spark, source)
+    stream.maintain_embeddings(arriving, path, scratch_path(spark, "stream"), dim=DIM, delay="31 days").awaitTermination()
+    tables.compact(spark, path, whole)
+    return spark.read.parquet(whole).select("message_id", micros(F.col("embedding"), 100_000).alias("embedding"))
+
+
 @query
 def stream_daily_counts(spark, sf_dir):
     """The events as a stream into a table of daily counts."""
