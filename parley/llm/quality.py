@@ -30,10 +30,11 @@ from parley.llm.common import PieceCache, group_sums, map_batches, take_ragged,
 from parley.session import materialize
 
 BUCKETS = 1 << 13
-DIM = 64
-NONZERO = 6
+DIM = 32
+NONZERO = 4
 WINDOW = 2
 EXTRA = 3
+CONTEXT_STEP = 200_000
 TRAIN_ROWS = 20_000
 HIDDEN = 32
 
@@ -71,7 +72,7 @@ def _features_of(buckets: int) -> PieceCache:
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter((b for x in lists for b in x), np.int64, int(lengths.sum())), lengths
 
-    return worker_state(f"quality:{buckets}", lambda: PieceCache(encode, 300_000))
+    return worker_state(f"quality:{buckets}", lambda: PieceCache(encode, 700_000))
 
 
 def feature_runs(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,29 +97,29 @@ def _slices(bounds: np.ndarray, most: int = 400_000) -> Iterator[tuple[int, int]
 
 def context_vectors(docs: DataFrame, buckets: int = BUCKETS, dim: int = DIM, window: int = WINDOW) -> np.ndarray:
     """Sums of the index vectors around each bucket's occurrences, over all documents."""
-    around = index_vectors(buckets, dim)
+    # one more vector, of zeros, for the gap between two texts
+    around = np.vstack([index_vectors(buckets, dim), np.zeros((1, dim))]).astype(np.int8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((buckets, dim), np.float64)
+        sums = np.zeros((buckets + 1, dim), np.int64)
         for batch in batches:
             ids, bounds = feature_runs(batch.column(1), buckets)
-            for lo in range(0, len(ids), 200_000):
-                # a margin on both sides, so that the cut changes nothing
-                a, b = max(0, lo - window), min(len(ids), lo + 200_000 + window)
-                part, text = ids[a:b], np.searchsorted(bounds, np.arange(a, b), side="right")
-                vectors = around[part]
-                near = np.zeros_like(vectors)
+            ids = np.insert(ids, np.repeat(bounds, window), buckets)
+            for lo in range(window, len(ids) - window, CONTEXT_STEP):
+                # with a margin on both sides, so that the cut changes nothing
+                hi = min(len(ids) - window, lo + CONTEXT_STEP)
+                vectors = around[ids[lo - window : hi + window]]
+                near = np.zeros((hi - lo, dim), np.int8)
                 for gap in range(1, window + 1):
-                    same = (text[gap:] == text[:-gap])[:, None]
-                    near[gap:] += vectors[:-gap] * same
-                    near[:-gap] += vectors[gap:] * same
-                own = slice(lo - a, min(lo + 200_000, len(ids)) - a)
-                part, near = part[own], near[own]
+                    near += vectors[window - gap : window - gap + hi - lo]
+                    near += vectors[window + gap : window + gap + hi - lo]
+                part = ids[lo:hi]
                 order = np.argsort(part, kind="stable")
                 first = np.flatnonzero(np.diff(part[order], prepend=-1))
-                sums[part[order][first]] += np.add.reduceat(near[order], first, axis=0)
+                sums[part[order][first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int64)
+        sums = sums[:-1]
         used = np.flatnonzero(np.abs(sums).sum(axis=1))
-        columns = [pa.array(used.astype(np.int32)), *[pa.array(sums[used, k]) for k in range(dim)]]
+        columns = [pa.array(used.astype(np.int32)), *[pa.array(sums[used, k].astype(np.float64)) for k in range(dim)]]
         yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["bucket", *[f"v{k}" for k in range(dim)]]
@@ -250,7 +251,7 @@ def fit(pooled: DataFrame, chosen: DataFrame, dim: int) -> Network:
     """The network, trained on the pooled vectors of the labelled rows in ``chosen``, see sampled_labels."""
     taught = pooled.join(F.broadcast(chosen), "doc_id").select("pooled", "label").toArrow()
     y = taught["label"].to_numpy().astype(np.float64)
-    x = taught["pooled"].combine_chunks().flatten().to_numpy().reshape(len(y), -1).astype(np.float64)
+    x = taught["pooled"].combine_chunks().flatten().to_numpy().reshape(len(y), dim).astype(np.float64)
     return Network(dim).fit(x, y)
 
 
