@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.columns import HIGH_ABOVE, MEDIUM_ABOVE, PLACEHOLDER_SENTIMENT, engagement_tier, tier_number
 
+# How many campaigns are listed as preferred; names of output columns below.
 PREFERRED = 3
 
 

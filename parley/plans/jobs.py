@@ -21,6 +21,11 @@ from parley.sources import tables
 from parley.sources.events import ingest
 
 
+# Texts of the errors that end a run; the names of steps below are fixed as well.
+SCHEMA_FAILED = "Schema validation failed: {}"
+EMBEDDINGS_FAILED = "Embedding validation failed: {}"
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -199,7 +204,7 @@ def run_pipeline(
             n = seen.get["n"]
             ok, errors = quality.validate_schema(events)
             if not ok:
-                raise ValueError(f"Schema validation failed: {errors}")
+                raise ValueError(SCHEMA_FAILED.format(errors))
             profile = quality.detect_anomalies(events).first().asDict()
             in_hash = quality.table_fingerprint(events).first()["content_sum"]
             facts |= {
@@ -215,7 +220,7 @@ def run_pipeline(
             embedded = tables.load_embeddings(spark, f"{root}/embedded")
             ok, errors = quality.validate_embeddings(embedded, dim)
             if not ok:
-                raise ValueError(f"Embedding validation failed: {errors}")
+                raise ValueError(EMBEDDINGS_FAILED.format(errors))
             out_hash = quality.table_fingerprint(embedded).first()["content_sum"]
             facts |= {"input_hash": in_hash, "output_hash": out_hash}
         with log.step("vector_storage", n):

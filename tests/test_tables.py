@@ -254,6 +254,22 @@ def test_request_log(spark, tmp_path):
     assert telemetry.latency_stats(log, F.lit(at)).first()["p50_latency_ms"] == 500.0
 
 
+def test_stream_rejects_are_kept(spark, sample, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    _write_sample(folder / "a.jsonl", sample, lines=True)
+    _write_sample(folder / "b.jsonl", sample, lines=True, timestamp="never")
+    (folder / "c.jsonl").write_text("{not json\n")
+    path = str(tmp_path / "rejects")
+    stream.store_rejects(stream.read_reject_stream(spark, str(folder)), path, str(tmp_path / "cp")).awaitTermination()
+    counts = {r["reason"]: r["count"] for r in spark.read.parquet(path).groupBy("reason").count().collect()}
+    assert counts == {"bad timestamp": 8, "corrupt record": 1}
+    good = str(tmp_path / "good")
+    events = stream.read_event_stream(spark, str(folder))
+    stream.maintain_embeddings(events, good, str(tmp_path / "cp2"), dim=8).awaitTermination()
+    assert spark.read.parquet(good).count() == 8
+
+
 def test_logs_are_kept_short(spark, tmp_path):
     from datetime import datetime, timezone
 
