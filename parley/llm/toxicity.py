@@ -33,6 +33,7 @@ LEXICON_WORDS = 400
 LEAST_TEXTS = 5
 LEAST_SURPLUS = 3.0
 NEAR_WORDS = 5
+CACHED_WORDS = 200_000
 TREES, DEPTH, RATE = 30, 4, 0.2
 
 # A short list of insults, and words of the second person, in the languages at hand.
@@ -73,7 +74,11 @@ _SECOND = frozenset(SECOND_PERSON)
 
 
 def _flag_cache(learned: tuple[str, ...]) -> dict[str, int]:
-    return worker_state(f"toxicity:{hash(learned)}", dict)
+    """Flags of words seen so far; begins anew with another lexicon, or when it holds CACHED_WORDS."""
+    state = worker_state("toxicity", dict)
+    if state.get("lexicon") != learned or len(state["flags"]) > CACHED_WORDS:
+        state["lexicon"], state["flags"] = learned, {}
+    return state["flags"]
 
 
 def dense_features(texts: pa.Array, learned: tuple[str, ...]) -> np.ndarray:
@@ -82,8 +87,6 @@ def dense_features(texts: pa.Array, learned: tuple[str, ...]) -> np.ndarray:
     words = lists.flatten().dictionary_encode()
     different = words.dictionary.to_pylist()
     cache, stated, own = _flag_cache(learned), frozenset(INSULTS), frozenset(learned)
-    if len(cache) > 400_000:
-        cache.clear()
     for w in different:
         if w not in cache:
             cache[w] = word_flags(w, stated, own)
