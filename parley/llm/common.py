@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from array import array
@@ -98,6 +99,16 @@ class PieceCache:
         )
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    bounded_batches(df.sparkSession)
+def release_memory() -> None:
+    """Give back to the system what the last batch left free in the pools of Arrow and of the C library."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_batches(
+    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, size: int = BATCH_BYTES
+) -> DataFrame:
+    bounded_batches(df.sparkSession, size)
     return df.mapInArrow(fn, schema)

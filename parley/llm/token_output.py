@@ -16,9 +16,12 @@ a hash of their text; a null id comes first. An empty table gives no files with
 from __future__ import annotations
 
 import math
+import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +31,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from parley.llm.common import PieceCache, group_sums, map_batches, take_ragged, texts_of, worker_state
+from parley.llm.common import PieceCache, group_sums, map_batches, release_memory, take_ragged, texts_of, worker_state
 from parley.session import materialize
 
 BLOCK_IDS = 4096
 PERCENTILE = 90
-FILE_TEXT_BYTES = 32 << 20
+FILE_TEXT_BYTES = 16 << 20
+ENCODED_TOGETHER = 4096
+CACHED_WORDS = 300_000
 # Fixed values of the file format: block header (ids, minimum, exceptions, width), footer (documents, blocks, ids,
 # place of the index, shard), mark at the end. Every record is followed by a line feed.
 HEADER = "<IIHB"
 FOOTER = "<QQQQQ8s"
 MARK = b"TOKPFOR1"
-# Signs that end a word without joining it; the apostrophe begins contractions.
+# Signs that end a word without joining it (the apostrophe begins contractions), where they follow a digit or one of the
+# Latin letters that no normalisation turns into a letter and a mark, which would join the signs after it.
+STABLE = r"[0-9A-Za-z\x{C0}-\x{12F}\x{131}-\x{24F}]"
 TRAILING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -130,40 +137,49 @@ def read_index(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np
     return shard, starts, known.astype(bool), doc_ids, np.frombuffer(data, "<u8", n_docs, at + 8 * n_docs).astype(np.int64)
 
 
-def word_parts(word: str) -> tuple[str, ...]:
-    """A word and the signs after it, which the tokenizer would part as well; case is its own business.
+def word_parts(words: pa.Array) -> list[pa.Array]:
+    """Words without the signs at their ends, and those signs; the tokenizer would part them as well.
 
-    Words with a special token's brackets stay whole, as those are looked for before anything else.
+    Words of ASCII are put in lower case, as the tokenizer does. A word whose signs follow something else than a Latin
+    letter or a digit stays whole, and so does one with a special token's brackets, as those are looked for before anything else.
     """
-    head = word.rstrip(TRAILING)
-    if not head or "<|" in word or not head[-1].isalnum():
-        return (word,)
-    if head.isascii():
-        head = head.lower()
-    return (head,) if len(head) == len(word) else (head, word[len(head) :])
-
-
-def _words_of(tokenizer_path: str) -> PieceCache:
+    heads = pc.utf8_rtrim(words, TRAILING)
+    ends = pc.utf8_slice_codeunits(heads, -1, None)
+    parted = pc.and_(pc.utf8_is_alnum(ends), pc.match_substring_regex(ends, STABLE))
+    parted = pc.and_not(parted, pc.match_substring(words, "<|"))
+    # the signs are the word without the head in front of it; they are ASCII, so bytes may be cut
+    whole, kept = pc.binary_length(words).to_numpy(), pc.binary_length(heads).to_numpy()
+    sizes = np.where(parted.to_numpy(zero_copy_only=False), whole - kept, 0)
+    offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, words.offset * 4)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    signs = take_ragged(data, offsets[1:] - sizes, sizes)
+    bounds = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    tails = pa.StringArray.from_buffers(len(words), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(signs)))
+    heads = pc.if_else(parted, heads, words)
+    plain = pc.and_not(pc.string_is_ascii(heads), pc.match_substring(words, "<|"))
+    return [pc.if_else(plain, pc.ascii_lower(heads), heads), tails]
+
+
+def _encoder(tokenizer_path: str) -> PieceCache:
     def make() -> PieceCache:
+        # a task has one core; the library's threads would only get in each other's way
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(tokenizer_path)
-        parts = PieceCache(lambda p: _flat([e.ids for e in tokenizer.encode_batch_fast(p, add_special_tokens=False)]))
 
-        def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            cut = [word_parts(w) for w in words]
-            flat, starts, lengths = parts.lookup([p for c in cut for p in c])
-            bounds = np.append(0, np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
-            return take_ragged(flat, starts, lengths), group_sums(lengths, bounds)
+        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids, lengths = array("I"), array("i")
+            # a few at a time, as the library's encodings are far larger than the ids
+            for lo in range(0, len(pieces), ENCODED_TOGETHER):
+                part = [e.ids for e in tokenizer.encode_batch_fast(pieces[lo : lo + ENCODED_TOGETHER], add_special_tokens=False)]
+                lengths.extend(map(len, part))
+                ids.extend(chain.from_iterable(part))
+            return np.array(ids, np.uint32), np.array(lengths, np.int64)
 
-        return PieceCache(encode, 200_000)
+        return PieceCache(encode, CACHED_WORDS)
 
     return worker_state(f"words:{tokenizer_path}", make)
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for ids in lists for i in ids), np.uint32, int(lengths.sum())), lengths
-
-
 def encode_words(texts: pa.Array, tokenizer_path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids of all texts, each with the end id, and the number of ids of each.
 
@@ -171,14 +187,20 @@ def encode_words(texts: pa.Array, tokenizer_path: str, end_id: int) -> tuple[np.
     """
     lists = pc.ascii_split_whitespace(texts)
     words = lists.flatten().dictionary_encode()
-    flat, starts, lengths = _words_of(tokenizer_path).lookup(words.dictionary.to_pylist())
+    # two places for each different word: its head, and the signs after it
+    both = pa.concat_arrays(word_parts(words.dictionary)).dictionary_encode()
+    flat, starts, lengths = _encoder(tokenizer_path).lookup(both.dictionary.to_pylist())
     index = words.indices.to_numpy(zero_copy_only=False)
+    parts = both.indices.to_numpy(zero_copy_only=False).reshape(2, -1)
+    per_word = lengths[parts].sum(axis=0)
+    word_ids = take_ragged(flat, starts[parts.T.ravel()], lengths[parts.T.ravel()])
+    word_starts = np.cumsum(per_word) - per_word
     bounds = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
-    counts = group_sums(lengths[index], bounds) + 1
+    counts = group_sums(per_word[index], bounds) + 1
     out = np.full(int(counts.sum()), end_id, np.uint32)
     inside = np.ones(len(out), bool)
     inside[np.cumsum(counts) - 1] = False
-    out[inside] = take_ragged(flat, starts[index], lengths[index])
+    out[inside] = take_ragged(word_ids, word_starts[index], per_word[index])
     return out, counts
 
 
@@ -202,6 +224,8 @@ def write_tokens(
         for batch in batches:
             ids, counts = encode_words(batch.column(1), tokenizer_path, end_id)
             yield _records(builder.add(batch.column(0).to_pylist(), ids, counts))
+            del ids, counts
+            release_memory()
         if builder.doc_ids:
             yield _records(builder.finish())
 
