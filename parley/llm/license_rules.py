@@ -6,7 +6,9 @@ form (letters and digits in lower case, anything else one blank) and have identi
 sequence of identifiers, and ordered rules are matched against it: the first rule in the list whose identifiers follow
 each other, with at most GAP_UNITS units of other text between two, takes them. Copyright lines between are no gap.
 
-Texts without a word that every known sentence has one of are left out before any Python runs. Null and empty texts
+Texts without any of TRIGGERS, of which every known sentence holds one by construction, are left out before any Python
+runs. A copyright line that ends in "all rights reserved" counts as that sentence; before a grant the sentence is part of
+the granted licence, as in BSD headers, and else it is a proprietary notice. Null and empty texts
 have no licence. Repeated rows are each reported. A licence that a text names twice is reported at each place. An empty
 table gives no rows. Only the id and the text are read.
 """
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 from parley.llm.common import map_batches, texts_of
 
 GAP_UNITS = 2
-TRIGGERS = r"licen[sc]e|copyright|warrant|permission|redistribut|public domain|spdx|gnu"
 
 # Sentences of public licence texts and notices, by identifier.
 SENTENCES = {
@@ -60,7 +61,24 @@ SENTENCES = {
     "spdx-apache": ["SPDX-License-Identifier: Apache-2.0"],
     "spdx-gpl3": ["SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-or-later", "SPDX-License-Identifier: GPL-3.0"],
     "spdx-bsd3": ["SPDX-License-Identifier: BSD-3-Clause"],
-    "rights-reserved": ["Copyright, all rights reserved."],
+    "gpl2-free": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License.", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."],
+    "lgpl21-free": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "lgpl3-free": ["This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "agpl3-free": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "spdx-gpl2": ["SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0-or-later", "SPDX-License-Identifier: GPL-2.0"],
+    "spdx-lgpl21": ["SPDX-License-Identifier: LGPL-2.1-only", "SPDX-License-Identifier: LGPL-2.1-or-later", "SPDX-License-Identifier: LGPL-2.1"],
+    "spdx-lgpl3": ["SPDX-License-Identifier: LGPL-3.0-only", "SPDX-License-Identifier: LGPL-3.0-or-later", "SPDX-License-Identifier: LGPL-3.0"],
+    "spdx-agpl3": ["SPDX-License-Identifier: AGPL-3.0-only", "SPDX-License-Identifier: AGPL-3.0-or-later", "SPDX-License-Identifier: AGPL-3.0"],
+    "spdx-bsd2": ["SPDX-License-Identifier: BSD-2-Clause"],
+    "spdx-isc": ["SPDX-License-Identifier: ISC"],
+    "spdx-mpl": ["SPDX-License-Identifier: MPL-2.0"],
+    "spdx-unlicense": ["SPDX-License-Identifier: Unlicense"],
+    "spdx-cc-by": ["SPDX-License-Identifier: CC-BY-4.0"],
+    "spdx-cc-by-sa": ["SPDX-License-Identifier: CC-BY-SA-4.0"],
+    "spdx-cc-by-nc": ["SPDX-License-Identifier: CC-BY-NC-4.0"],
+    "spdx-cc-by-nd": ["SPDX-License-Identifier: CC-BY-ND-4.0"],
+    "spdx-cc0": ["SPDX-License-Identifier: CC0-1.0"],
+    "rights-reserved": ["Copyright, all rights reserved.", "All rights reserved."],
 }
 
 # Licences by the sentences that make them, the longer rule before a shorter one that it contains.
@@ -75,7 +93,18 @@ RULES = [
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]), ("BSD-3-Clause", ["spdx-bsd3"]),
     ("ISC", ["isc-grant"]), ("MPL-2.0", ["mpl-terms"]), ("Unlicense", ["unlicense"]),
     ("CC-BY-4.0", ["cc-by-reference"]), ("CC-BY-SA-4.0", ["cc-by-sa-reference"]), ("CC-BY-NC-4.0", ["cc-by-nc-reference"]),
-    ("CC-BY-ND-4.0", ["cc-by-nd-reference"]), ("CC0-1.0", ["cc0-reference"]), ("Proprietary", ["rights-reserved"]),
+    ("CC-BY-ND-4.0", ["cc-by-nd-reference"]), ("CC0-1.0", ["cc0-reference"]),
+    ("GPL-2.0", ["gpl2-free", "gpl-hope", "gpl-details", "gpl-received"]), ("GPL-2.0", ["gpl2-free"]),
+    ("LGPL-2.1", ["lgpl21-free"]), ("LGPL-3.0", ["lgpl3-free"]), ("AGPL-3.0", ["agpl3-free"]),
+    ("GPL-2.0", ["spdx-gpl2"]), ("LGPL-2.1", ["spdx-lgpl21"]), ("LGPL-3.0", ["spdx-lgpl3"]), ("AGPL-3.0", ["spdx-agpl3"]),
+    ("BSD-2-Clause", ["spdx-bsd2"]), ("ISC", ["spdx-isc"]), ("MPL-2.0", ["spdx-mpl"]), ("Unlicense", ["spdx-unlicense"]),
+    ("CC-BY-4.0", ["spdx-cc-by"]), ("CC-BY-SA-4.0", ["spdx-cc-by-sa"]), ("CC-BY-NC-4.0", ["spdx-cc-by-nc"]),
+    ("CC-BY-ND-4.0", ["spdx-cc-by-nd"]), ("CC0-1.0", ["spdx-cc0"]), ("Proprietary", ["rights-reserved"]),
+]
+# a grant after "All rights reserved" takes it
+RULES = [
+    rule for name, ids in RULES
+    for rule in ([(name, ["rights-reserved", *ids])] if ids[0].endswith(("-grant", "-free")) else []) + [(name, ids)]
 ]
 
 _UNIT = re.compile(r"[^\n]*?(?:[.!?:](?=\s|$)|(?=\n)|$)")
@@ -86,6 +115,19 @@ def normal_words(text: str) -> tuple[str, ...]:
     return tuple(w.lower() for w in _WORD.findall(text))
 
 
+# Parts of words that other text seldom has.
+_RARE = ["license", "licence", "copyright", "warrant", "permission", "redistribut", "gnu"]
+
+
+def trigger(sentence: str) -> str:
+    """A part of one word of the sentence, so that a text with the sentence in any layout holds it."""
+    words = normal_words(sentence)
+    return next((r for r in _RARE if any(r in w for w in words)), max(words, key=len))
+
+
+TRIGGERS = "|".join(sorted({trigger(t) for texts in SENTENCES.values() for t in texts}))
+
+
 class Recogniser:
     """Known sentences by their first two words, and the rules by their first identifier."""
 
@@ -124,7 +166,9 @@ class Recogniser:
                 while last < len(words) and unit_of[last] == unit_of[first]:
                     last += 1
                 reserved = self._known(words, first, closing)
-                out.append((reserved[1] if reserved else "copyright", begins[first], ends[last - 1], unit_of[first], unit_of[first]))
+                ends_so = words[max(first, last - 3) : last] == ["all", "rights", "reserved"]
+                name = reserved[1] if reserved else "rights-reserved" if ends_so else "copyright"
+                out.append((name, begins[first], ends[last - 1], unit_of[first], unit_of[first]))
                 done = last
             elif known := self._known(words, first, closing):
                 last = first + len(known[0]) - 1

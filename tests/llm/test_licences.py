@@ -41,3 +41,27 @@ def test_scan(spark, docs, no_docs):
     assert texts[0][found[0]["begin"] : found[0]["end"]] == "Released under the MIT License"
     assert rules.scan_licences(no_docs).count() == 0
     assert rules.scan_licences(docs).count() == 0
+
+
+def test_rights_reserved_and_common_headers():
+    known = rules.Recogniser()
+    for text in ["All rights reserved.", "Copyright (c) 2020 X. All rights reserved.", "Copyright 2020 by X, all rights\u00a0reserved", "\u00a9 2020 X.\nAll rights\nreserved."]:
+        assert [x[0] for x in known.licences("Prose. \n" + text + "\nMore prose.")] == ["Proprietary"], text
+    bsd = "Copyright (c) 2020, X\nAll rights reserved.\n\n" + full("bsd-grant", "bsd-source", "bsd-binary")
+    assert [x[0] for x in known.licences(bsd)] == ["BSD-2-Clause"]
+    assert [x[0] for x in known.licences(bsd + "\n" + full("bsd-endorse"))] == ["BSD-3-Clause"]
+    heads = {"gpl2-free": "GPL-2.0", "lgpl21-free": "LGPL-2.1", "lgpl3-free": "LGPL-3.0", "agpl3-free": "AGPL-3.0"}
+    for name, licence in heads.items():
+        assert [x[0] for x in known.licences(full(name, "gpl-hope"))] == [licence]
+    for name in "GPL-2.0 LGPL-2.1 AGPL-3.0 BSD-2-Clause ISC MPL-2.0 CC-BY-4.0 CC0-1.0".split():
+        assert [x[0] for x in known.licences(f"// SPDX-License-Identifier: {name}\ncode")] == [name]
+
+
+def test_prefilter_keeps_every_known_sentence(spark):
+    """In capitals and with every word on a line of its own."""
+    texts = [t for ts in rules.SENTENCES.values() for t in ts]
+    texts += ["\n".join(rules.normal_words(t)).upper() for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert rows.where(rows.text.isNotNull()).filter(f"lower(text) rlike '{rules.TRIGGERS}'").count() == len(texts)
+    notice = spark.createDataFrame([(1, "A text.\nAll rights reserved.\nMore.")], "doc_id int, text string")
+    assert [r["licence"] for r in rules.scan_licences(notice).collect()] == ["Proprietary"]
