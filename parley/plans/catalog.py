@@ -464,11 +464,11 @@ def knn_ivf_all_cells(spark, sf_dir):
 
 @query
 def knn_ivf_recall(spark, sf_dir):
-    """How many exact neighbours a search of few cells finds: at least 0.9 of them."""
+    """How many exact neighbours the default search of few cells finds: at least 0.9 of them."""
     vectors = _vectors(spark, sf_dir)
     queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
-    index = knn.build_index(vectors, DIM, nlist=CELLS, trainer="kmeans")
-    found = knn.recall(knn.knn(queries, index, 5, nprobe=12), knn.knn(queries, index, 5))
+    index = knn.build_index(vectors, DIM, nlist=knn.NLIST, trainer="kmeans")
+    found = knn.recall(knn.knn(queries, index, 5, nprobe=knn.NPROBE), knn.knn(queries, index, 5))
     return found.select("expected", (F.col("recall") >= 0.9).alias("enough"))
 
 

@@ -227,3 +227,17 @@ def test_engagement_scans_events_once(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan") == 1
+
+
+def test_recall_is_that_of_the_default_search(spark, monkeypatch):
+    """The query must measure the cells that recommendations probe by default: a poor default fails it."""
+    import inspect
+
+    from parley.operators import recommend
+    from parley.plans import catalog
+
+    defaults = inspect.signature(recommend.recommendations).parameters
+    assert defaults["search"].default == "ivf" and defaults["nprobe"].default == knn.NPROBE
+    assert catalog.QUERIES["knn_ivf_recall"](spark, "/root/testdata/sf0.1").first()["enough"]
+    monkeypatch.setattr(knn, "NPROBE", 2)
+    assert not catalog.QUERIES["knn_ivf_recall"](spark, "/root/testdata/sf0.01").first()["enough"]
