@@ -65,38 +65,53 @@ def group_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
+class _Generation:
+    """Pieces with their ids; ``at`` is a piece's place in ``starts`` and ``lengths``."""
+
+    def __init__(self) -> None:
+        self.at: dict = {}
+        self.ids, self.starts, self.lengths = array("I"), array("q"), array("i")
+
+    def add(self, pieces: list, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.at.update(zip(pieces, range(len(self.starts), len(self.starts) + len(pieces))))
+        self.starts.frombytes((len(self.ids) + np.cumsum(lengths) - lengths).astype(np.int64).tobytes())
+        self.lengths.frombytes(lengths.astype(np.int32).tobytes())
+        self.ids.frombytes(flat.astype(np.uint32).tobytes())
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # copies: a view would forbid the arrays to grow
+        return np.array(self.ids, np.uint32), np.array(self.starts, np.int64), np.array(self.lengths, np.int64)
+
+
 class PieceCache:
-    """Ids of text pieces, encoded once per worker; begins anew when it holds ``most`` pieces.
+    """Ids of text pieces, encoded once per worker while they are in use.
 
+    Two generations hold some ``most`` pieces: once the younger has half of them, it becomes the older one, whose
+    pieces are kept only if they are asked for again. So frequent pieces stay and rare ones go.
     ``encode`` gives the flat ids of a list of pieces and the number of ids of each.
     """
 
     def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = CACHED_PIECES):
         self.encode, self.most = encode, most
-        self.clear()
-
-    def clear(self) -> None:
-        self.at: dict = {}
-        self.ids, self.starts, self.lengths = array("I"), array("q"), array("i")
+        self.young, self.old = _Generation(), _Generation()
 
     def lookup(self, pieces: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat ids, start of each piece, length of each piece)."""
-        if len(self.at) + len(pieces) > self.most:
-            self.clear()
-        new = [p for p in dict.fromkeys(pieces) if p not in self.at]
+        if len(self.young.at) >= self.most // 2:
+            self.young, self.old = _Generation(), self.young
+        known, before = self.young.at, self.old.at
+        missing = [p for p in dict.fromkeys(pieces) if p not in known]
+        again = [p for p in missing if p in before]
+        if again:
+            flat, starts, lengths = self.old.arrays()
+            places = np.fromiter(map(before.__getitem__, again), np.int64, len(again))
+            self.young.add(again, take_ragged(flat, starts[places], lengths[places]), lengths[places])
+        new = [p for p in missing if p not in before] if again else missing
         if new:
-            flat, lengths = self.encode(new)
-            self.at.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
-            self.starts.frombytes((len(self.ids) + np.cumsum(lengths) - lengths).astype(np.int64).tobytes())
-            self.lengths.frombytes(lengths.astype(np.int32).tobytes())
-            self.ids.frombytes(flat.astype(np.uint32).tobytes())
-        index = np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
-        # copies: a view would forbid the arrays to grow
-        return (
-            np.array(self.ids, dtype=np.uint32),
-            np.array(self.starts, dtype=np.int64)[index],
-            np.array(self.lengths, dtype=np.int64)[index],
-        )
+            self.young.add(new, *self.encode(new))
+        index = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        flat, starts, lengths = self.young.arrays()
+        return flat, starts[index], lengths[index]
 
 
 def release_memory() -> None:

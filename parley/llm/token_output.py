@@ -17,10 +17,10 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import struct
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -38,12 +38,16 @@ BLOCK_IDS = 4096
 PERCENTILE = 90
 FILE_TEXT_BYTES = 16 << 20
 ENCODED_TOGETHER = 4096
-CACHED_WORDS = 300_000
+CACHED_WORDS = 240_000
+BATCH_BYTES = 6 << 20
 # Fixed values of the file format: block header (ids, minimum, exceptions, width), footer (documents, blocks, ids,
 # place of the index, shard), mark at the end. Every record is followed by a line feed.
 HEADER = "<IIHB"
 FOOTER = "<QQQQQ8s"
 MARK = b"TOKPFOR1"
+# Letters that the tokenizer's normaliser leaves as they are, and those that it only puts in lower case.
+PLAIN = re.compile(r"[a-z\xDF-\xF6\xF8-\xFF]+")
+LATIN = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+$"
 # Signs that end a word without joining it (the apostrophe begins contractions), where they follow a digit or one of the
 # Latin letters that no normalisation turns into a letter and a mark, which would join the signs after it.
 STABLE = r"[0-9A-Za-z\x{C0}-\x{12F}\x{131}-\x{24F}]"
@@ -140,7 +144,7 @@ def read_index(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np
 def word_parts(words: pa.Array) -> list[pa.Array]:
     """Words without the signs at their ends, and those signs; the tokenizer would part them as well.
 
-    Words of ASCII are put in lower case, as the tokenizer does. A word whose signs follow something else than a Latin
+    Words of ASCII or of Latin letters are put in lower case, as the tokenizer does. A word whose signs follow something else than a Latin
     letter or a digit stays whole, and so does one with a special token's brackets, as those are looked for before anything else.
     """
     heads = pc.utf8_rtrim(words, TRAILING)
@@ -157,25 +161,50 @@ def word_parts(words: pa.Array) -> list[pa.Array]:
     tails = pa.StringArray.from_buffers(len(words), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(signs)))
     heads = pc.if_else(parted, heads, words)
     plain = pc.and_not(pc.string_is_ascii(heads), pc.match_substring(words, "<|"))
-    return [pc.if_else(plain, pc.ascii_lower(heads), heads), tails]
+    heads = pc.if_else(plain, pc.ascii_lower(heads), heads)
+    return [pc.if_else(pc.match_substring_regex(heads, LATIN), pc.utf8_lower(heads), heads), tails]
+
+
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself where it is visible, else one from 256 on."""
+    shown = [*range(33, 127), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+def piece_encoder(tokenizer: Tokenizer) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """Flat ids of a list of pieces and the number of ids of each.
+
+    A piece of lower-case Latin letters is one word to the library, which its normaliser leaves as it is, so its merges
+    are asked at once. All others take the whole way.
+    """
+    merges, letters = tokenizer.model, byte_letters()
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids: list[list[int]] = [[]] * len(pieces)
+        others: list[int] = []
+        for i, piece in enumerate(pieces):
+            if PLAIN.fullmatch(piece):
+                known = piece if piece.isascii() else piece.encode().decode("latin-1").translate(letters)
+                ids[i] = [t.id for t in merges.tokenize(known)]
+            elif piece:
+                others.append(i)
+        # a few at a time, as the library's encodings are far larger than the ids
+        for lo in range(0, len(others), ENCODED_TOGETHER):
+            part = others[lo : lo + ENCODED_TOGETHER]
+            for i, e in zip(part, tokenizer.encode_batch_fast([pieces[i] for i in part], add_special_tokens=False)):
+                ids[i] = e.ids
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
+
+    return encode
 
 
 def _encoder(tokenizer_path: str) -> PieceCache:
     def make() -> PieceCache:
         # a task has one core; the library's threads would only get in each other's way
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-
-        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids, lengths = array("I"), array("i")
-            # a few at a time, as the library's encodings are far larger than the ids
-            for lo in range(0, len(pieces), ENCODED_TOGETHER):
-                part = [e.ids for e in tokenizer.encode_batch_fast(pieces[lo : lo + ENCODED_TOGETHER], add_special_tokens=False)]
-                lengths.extend(map(len, part))
-                ids.extend(chain.from_iterable(part))
-            return np.array(ids, np.uint32), np.array(lengths, np.int64)
-
-        return PieceCache(encode, CACHED_WORDS)
+        return PieceCache(piece_encoder(Tokenizer.from_file(tokenizer_path)), CACHED_WORDS)
 
     return worker_state(f"words:{tokenizer_path}", make)
 
@@ -230,7 +259,7 @@ def write_tokens(
             yield _records(builder.finish())
 
     ordered = docs.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    records = map_batches(ordered, run, "record binary")
+    records = map_batches(ordered, run, "record binary", BATCH_BYTES)
     records.select(F.col("record").cast("string").alias("value")).write.mode("error").text(path)
 
 
