@@ -10,7 +10,8 @@ Per task the sums are one table of buckets, so neither memory nor the rows that
 The driver sees that table and the training vectors, both of bounded size.
 
 Nulls and empty texts have the zero vector and get a score like any other. Labels of 0 and 1 are learned from; null
-labels and unlabelled rows are not. A document with several labels counts with each. Repeated rows are scored each.
+labels and unlabelled rows are not. A document with several labels counts with each, and a label that is given n times
+weighs n times. Of several documents with one id, one is learned from, see taught_rows. Repeated rows are scored each.
 Without any label of both kinds the score is the share of label 1, or 0.5. An empty table gives no rows.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,8 @@ DIM = 32
 NONZERO = 4
 WINDOW = 2
 EXTRA = 3
-CONTEXT_STEP = 200_000
+CONTEXT_STEP = 50_000
+SLICE = 100_000
 TRAIN_ROWS = 20_000
 HIDDEN = 32
 
@@ -55,22 +58,40 @@ def word_features(word: str) -> list[str]:
     """Letters in lower case, the signs without them, and the shape: case, digits, length class."""
     core = _CORE.search(word)
     if core is None:
-        return ["sign:" + word[:8]]
+        return ["sign:" + word]
     letters = core.group()
-    signs = word[: core.start()] + word[core.end() :]
     case = "upper" if len(letters) > 1 and letters.isupper() else "title" if letters[0].isupper() else "lower"
-    kind = "digit" if letters.isdigit() else "mixed" if any(c.isdigit() for c in letters) else case
+    if letters.isalpha():
+        kind = case
+    else:
+        kind = "digit" if letters.isdigit() else "mixed" if any(c.isdigit() for c in letters) else case
     out = ["word:" + letters.lower(), f"shape:{kind}:{min(len(letters) // 4, 4)}"]
-    if signs:
-        out.append("sign:" + signs[:8])
+    if len(letters) < len(word):
+        out.append("sign:" + word[: core.start()] + word[core.end() :])
     return out
 
 
+def _bucket(feature: str, buckets: int) -> int:
+    return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % buckets
+
+
 def _features_of(buckets: int) -> PieceCache:
+    few: dict[str, int] = {}
+
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lists = [[zlib.crc32(f.encode("utf-8", "surrogatepass")) % buckets for f in word_features(w)] for w in words]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        return np.fromiter((b for x in lists for b in x), np.int64, int(lengths.sum())), lengths
+        out, lengths = array("I"), array("q")
+        for word in words:
+            first, *others = word_features(word)
+            out.append(_bucket(first, buckets))
+            for feature in others:
+                # shapes are some thirty, and most signs come again and again
+                if (known := few.get(feature)) is None:
+                    known = _bucket(feature, buckets)
+                    if len(few) < 10_000:
+                        few[feature] = known
+                out.append(known)
+            lengths.append(1 + len(others))
+        return np.array(out, np.int64), np.array(lengths, np.int64)
 
     return worker_state(f"quality:{buckets}", lambda: PieceCache(encode, 700_000))
 
@@ -86,7 +107,7 @@ def feature_runs(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]
     return take_ragged(flat, starts[index], lengths[index]).astype(np.int64), np.append(0, np.cumsum(counts))
 
 
-def _slices(bounds: np.ndarray, most: int = 400_000) -> Iterator[tuple[int, int]]:
+def _slices(bounds: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
     """Ranges of texts with some ``most`` features; a longer text comes alone."""
     begin = 0
     for i in range(1, len(bounds)):
@@ -95,15 +116,38 @@ def _slices(bounds: np.ndarray, most: int = 400_000) -> Iterator[tuple[int, int]
             begin = i
 
 
-def context_vectors(docs: DataFrame, buckets: int = BUCKETS, dim: int = DIM, window: int = WINDOW) -> np.ndarray:
-    """Sums of the index vectors around each bucket's occurrences, over all documents."""
+def feature_table(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """doc_id and ``features``, the buckets of a text's features in order. Made once, read by all later steps."""
+    if buckets > 1 << 15:
+        raise ValueError("buckets are stored as short integers")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, bounds = feature_runs(batch.column(1), buckets)
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int16)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "features"])
+
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, features array<short>"
+    return materialize(map_batches(docs, run, schema), "features")
+
+
+def _runs_of(column: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The feature runs of a batch, from texts or from a stored table of features."""
+    if not pa.types.is_list(column.type):
+        return feature_runs(column, buckets)
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.append(0, np.cumsum(sizes))
+
+
+def context_vectors(docs: DataFrame, buckets: int = BUCKETS, dim: int = DIM, window: int = WINDOW, nonzero: int = NONZERO) -> np.ndarray:
+    """Sums of the index vectors around each bucket's occurrences, over all documents (doc_id, and text or features)."""
     # one more vector, of zeros, for the gap between two texts
-    around = np.vstack([index_vectors(buckets, dim), np.zeros((1, dim))]).astype(np.int8)
+    around = np.vstack([index_vectors(buckets, dim, nonzero), np.zeros((1, dim))]).astype(np.int8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((buckets + 1, dim), np.int64)
         for batch in batches:
-            ids, bounds = feature_runs(batch.column(1), buckets)
+            ids, bounds = _runs_of(batch.column(1), buckets)
             ids = np.insert(ids, np.repeat(bounds, window), buckets)
             for lo in range(window, len(ids) - window, CONTEXT_STEP):
                 # with a margin on both sides, so that the cut changes nothing
@@ -132,18 +176,18 @@ def context_vectors(docs: DataFrame, buckets: int = BUCKETS, dim: int = DIM, win
     return out
 
 
-def word_vectors(contexts: np.ndarray) -> np.ndarray:
+def word_vectors(contexts: np.ndarray, nonzero: int = NONZERO) -> np.ndarray:
     """Context and index vectors side by side, each of length 1."""
     norm = np.linalg.norm(contexts, axis=1, keepdims=True)
-    own = index_vectors(*contexts.shape)
-    return np.hstack([contexts / np.maximum(norm, 1e-9), own / np.sqrt(NONZERO)]).astype(np.float32)
+    own = index_vectors(*contexts.shape, nonzero)
+    return np.hstack([contexts / np.maximum(norm, 1e-9), own / np.sqrt(nonzero)]).astype(np.float32)
 
 
 def pooled_vectors(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Per text: the mean of its features' vectors, the share of different features, the log of their number, and the
+    """Per text or feature run: the mean of its features' vectors, the share of different features, the log of their number, and the
     share of features that come again one to three places later."""
     buckets, dim = vectors.shape
-    ids, bounds = feature_runs(texts, buckets)
+    ids, bounds = _runs_of(texts, buckets)
     out = np.zeros((len(texts), dim + EXTRA), np.float32)
     for a, b in _slices(bounds):
         part = ids[bounds[a] : bounds[b]]
@@ -201,14 +245,18 @@ class Network:
             return np.full(len(x), self.constant)
         return _sigmoid(self.logits(x) / self.temperature)
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 40, batch: int = 256, rate: float = 3e-3, decay: float = 1e-3) -> Network:
+    def fit(
+        self, x: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None, epochs: int = 40, batch: int = 256,
+        rate: float = 3e-3, decay: float = 1e-3,
+    ) -> Network:
         if not len(y) or y.min() == y.max():
             self.constant = float(y.mean()) if len(y) else 0.5
             return self
+        weights = np.ones(len(y)) if weights is None else weights / weights.mean()
         order = self.rng.permutation(len(y))
         kept, aside = (order[len(y) // 6 :], order[: len(y) // 6]) if len(y) >= 60 else (order, order)
         self.mean, self.scale = x[kept].mean(axis=0), x[kept].std(axis=0) + 1e-6
-        z, t = (x[kept] - self.mean) / self.scale, y[kept]
+        z, t, heavy = (x[kept] - self.mean) / self.scale, y[kept], weights[kept]
         moments = [(np.zeros_like(w), np.zeros_like(w)) for w in self.w]
         best, step = (np.inf, [w.copy() for w in self.w]), 0
         for _ in range(epochs):
@@ -217,7 +265,7 @@ class Network:
                 rows = shuffled[lo : lo + batch]
                 w1, b1, w2, b2 = self.w
                 h = np.tanh(z[rows] @ w1 + b1)
-                error = (_sigmoid(h @ w2 + b2[0]) - t[rows]) / len(rows)
+                error = (_sigmoid(h @ w2 + b2[0]) - t[rows]) * heavy[rows] / len(rows)
                 back = error[:, None] * w2 * (1 - h * h)
                 grads = [z[rows].T @ back + decay * w1, back.sum(axis=0), h.T @ error + decay * w2, error.sum(keepdims=True)]
                 step += 1
@@ -225,34 +273,52 @@ class Network:
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
                     w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-            loss = self._loss(self.logits(x[aside]), y[aside])
+            loss = self._loss(self.logits(x[aside]), y[aside], weights[aside])
             if loss < best[0]:
                 best = loss, [w.copy() for w in self.w]
         self.w = best[1]
         raw = self.logits(x[aside])
         grid = np.exp(np.linspace(np.log(0.25), np.log(8), 61))
-        self.temperature = float(min(grid, key=lambda t: self._loss(raw / t, y[aside])))
+        self.temperature = float(min(grid, key=lambda t: self._loss(raw / t, y[aside], weights[aside])))
         return self
 
     @staticmethod
-    def _loss(logits: np.ndarray, y: np.ndarray) -> float:
-        return float(np.mean(np.logaddexp(0, logits) - y * logits))
+    def _loss(logits: np.ndarray, y: np.ndarray, weights: np.ndarray) -> float:
+        return float(np.average(np.logaddexp(0, logits) - y * logits, weights=weights))
 
 
-def sampled_labels(labels: DataFrame, train_rows: int, id_col: str, label_col: str, learn_from: Column) -> DataFrame:
-    """(doc_id, label) to learn from: some ``train_rows`` rows at most, chosen by a hash of the id."""
+def usable_labels(labels: DataFrame, id_col: str, label_col: str, learn_from: Column) -> DataFrame:
+    """(doc_id, label, n) of the labels to learn from; equal rows are one, n times."""
     usable = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     usable = usable.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn_from)
+    return usable.groupBy("doc_id", "label").agg(F.count("*").alias("n"))
+
+
+def sampled_labels(labels: DataFrame, train_rows: int, id_col: str, label_col: str, learn_from: Column) -> DataFrame:
+    """Rows of usable_labels, some ``train_rows`` at most, chosen by a hash of the id."""
+    usable = materialize(usable_labels(labels, id_col, label_col, learn_from), "usable_labels")
     share = min(1.0, train_rows / max(usable.count(), 1))
     return usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
 
 
+def taught_rows(docs: DataFrame, chosen: DataFrame, value: str) -> DataFrame:
+    """(doc_id, label, n, ``value``): one row for each of ``chosen`` that has a document.
+
+    Of several documents with one id, the one whose value has the smallest hash is learned from, so there are never more
+    rows than chosen labels.
+    """
+    joined = docs.join(F.broadcast(chosen), "doc_id")
+    return joined.groupBy("doc_id", "label").agg(F.max("n").alias("n"), F.min_by(value, F.xxhash64(value)).alias(value))
+
+
 def fit(pooled: DataFrame, chosen: DataFrame, dim: int) -> Network:
     """The network, trained on the pooled vectors of the labelled rows in ``chosen``, see sampled_labels."""
-    taught = pooled.join(F.broadcast(chosen), "doc_id").select("pooled", "label").toArrow()
+    taught = taught_rows(pooled, chosen, "pooled").select("pooled", "label", "n", "doc_id").toArrow()
+    # the order of rows that Spark returns is not fixed
+    taught = taught.sort_by([("doc_id", "ascending"), ("label", "ascending")])
     y = taught["label"].to_numpy().astype(np.float64)
     x = taught["pooled"].combine_chunks().flatten().to_numpy().reshape(len(y), dim).astype(np.float64)
-    return Network(dim).fit(x, y)
+    return Network(dim).fit(x, y, taught["n"].to_numpy().astype(np.float64))
 
 
 def train_and_score(
@@ -261,9 +327,9 @@ def train_and_score(
 ) -> DataFrame:
     """doc_id, score and predicted of every row of ``df``; ``learn_from`` says by doc_id which labels may be used.
 
-    ``df`` is read twice, so pass a stored table.
+    ``df`` is read once; its features are stored, some 1.5 bytes each.
     """
-    docs = texts_of(df, id_col, text_col)
+    docs = feature_table(texts_of(df, id_col, text_col))
     vectors = word_vectors(context_vectors(docs))
     pooled = materialize(pool(docs, vectors), "pooled")
     network = fit(pooled, sampled_labels(labels, train_rows, id_col, label_col, learn_from), vectors.shape[1] + EXTRA)

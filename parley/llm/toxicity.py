@@ -2,12 +2,13 @@
 
 Features of a text: shares of words in a stated and in a learned lexicon, how many of those stand near a word of the
 second person, shares of capitals, punctuation and obfuscated words, and sizes. The learned lexicon holds at most
-``LEXICON_WORDS`` words that are clearly more frequent in toxic than in other training texts. Trees, lexicon and
-calibration are fitted on at most about ``train_rows`` labelled rows; the trees on two thirds of them, the calibration
-on the rest. Each different word of a batch is looked at once.
+``LEXICON_WORDS`` words that are clearly more frequent in toxic than in other texts, counted over all labelled texts that
+may be learned from. Trees and calibration are fitted on at most about ``train_rows`` labelled rows; the trees on two
+thirds of them, the calibration on the rest. Each different word of a batch is looked at once.
 
 Nulls and empty texts have features of zero and get a score like any other. Rows whose label is null or neither 0 nor
-1 teach nothing; a document with several labels counts with each. Repeated rows are scored each. Without labels of both
+1 teach nothing; a document with several labels counts with each, and a label given n times weighs n times in trees and
+calibration. Of several documents with one id, one trains them. Repeated rows are scored each. Without labels of both
 kinds the score is the share of label 1, or 0.5. An empty table gives no rows.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.common import map_batches, texts_of, worker_state
-from parley.llm.quality import sampled_labels
+from parley.llm.quality import sampled_labels, taught_rows, usable_labels
 from parley.session import materialize
 
 TRAIN_ROWS = 20_000
@@ -140,16 +141,16 @@ def features(docs: DataFrame, learned: tuple[str, ...]) -> DataFrame:
     return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, features array<double>")
 
 
-def learned_lexicon(taught: DataFrame, words: int = LEXICON_WORDS) -> tuple[str, ...]:
-    """The words most typical of label 1 among training texts (text, label).
+def learned_lexicon(docs: DataFrame, usable: DataFrame, words: int = LEXICON_WORDS) -> tuple[str, ...]:
+    """The words most typical of label 1, counted in all documents (doc_id, text) that have a label in ``usable``.
 
-    They are ranked by how surely the log odds of the texts that hold a word differ from 0.
+    They are ranked by how surely the log odds of the texts that hold a word differ from 0. Documents with one id count
+    each; a label that is given several times counts once.
     """
-    kinds = {r["label"]: r["n"] for r in taught.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    listed = docs.join(usable.select("doc_id", "label"), "doc_id")
+    kinds = {r["label"]: r["n"] for r in listed.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, other = kinds.get(1, 0), kinds.get(0, 0)
-    if not toxic or not other:
-        return ()
-    listed = taught.select("label", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
+    listed = listed.select("label", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
     counts = listed.filter("word <> ''").groupBy("word").agg(F.sum("label").alias("a"), F.count("*").alias("n"))
     a, b = F.col("a") + 0.5, F.col("n") - F.col("a") + 0.5
     odds = F.log(a / (toxic + 1 - a)) - F.log(b / (other + 1 - b))
@@ -161,11 +162,12 @@ def learned_lexicon(taught: DataFrame, words: int = LEXICON_WORDS) -> tuple[str,
 class Calibration:
     """Isotonic: the increasing step function nearest to the labels, by pooling adjacent violators."""
 
-    def __init__(self, scores: np.ndarray, labels: np.ndarray):
+    def __init__(self, scores: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None):
         order = np.argsort(scores, kind="stable")
         at, first = np.unique(scores[order], return_index=True)
-        weights = np.diff(np.append(first, len(order))).astype(float)
-        means = np.add.reduceat(labels[order].astype(float), first) / weights if len(first) else np.zeros(0)
+        heavy = np.ones(len(order)) if weights is None else weights[order].astype(float)
+        weights = np.add.reduceat(heavy, first) if len(first) else np.zeros(0)
+        means = np.add.reduceat(labels[order] * heavy, first) / weights if len(first) else np.zeros(0)
         pools: list[list[float]] = []
         for mean, weight, count in zip(means, weights, np.ones(len(means), int)):
             pools.append([mean, weight, count])
@@ -187,16 +189,17 @@ def train_and_score(
 ) -> DataFrame:
     """doc_id, score and predicted of every row of ``df``; ``learn_from`` says by doc_id which labels may be used.
 
-    ``df`` is read twice, so pass a stored table.
+    ``df`` is read three times, so pass a stored table. Labels that are no small table make its texts move once, for the
+    lexicon.
     """
     docs = texts_of(df, id_col, text_col)
     chosen = sampled_labels(labels, train_rows, id_col, label_col, learn_from)
     # some train_rows short rows, see sampled_labels
-    texts = materialize(docs.join(F.broadcast(chosen), "doc_id"), "taught")
-    learned = learned_lexicon(texts)
+    texts = materialize(taught_rows(docs, chosen, "text"), "taught")
+    learned = learned_lexicon(docs, usable_labels(labels, id_col, label_col, learn_from))
     taught = materialize(
-        features(texts.select(F.struct("doc_id", "label").alias("doc_id"), "text"), learned).select(
-            F.col("doc_id.label").cast("double").alias("label"),
+        features(texts.select(F.struct("doc_id", "label", "n").alias("doc_id"), "text"), learned).select(
+            F.col("doc_id.label").cast("double").alias("label"), F.col("doc_id.n").cast("double").alias("n"),
             (F.pmod(F.xxhash64(F.col("doc_id.doc_id"), F.lit("calibration")), F.lit(3)) == 0).alias("aside"),
             array_to_vector("features").alias("features"),
         ),
@@ -209,12 +212,12 @@ def train_and_score(
     if not 0 < fit_p < fit_n:
         score = F.lit(float(positive / rows) if rows else 0.5)
         return every.select("doc_id", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, minInstancesPerNode=5, seed=3, labelCol="label")
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, minInstancesPerNode=5, seed=3, labelCol="label", weightCol="n")
     model = trees.fit(taught.filter(~F.col("aside")).coalesce(6))
-    shown = _raw_scores(model, taught.filter(F.col("aside")).select("label", "features")).toArrow()
+    shown = _raw_scores(model, taught.filter(F.col("aside")).select("label", "n", "features")).toArrow()
     if shown.num_rows < 20:
-        shown = _raw_scores(model, taught.select("label", "features")).toArrow()
-    calibrated = Calibration(shown["raw"].to_numpy(), shown["label"].to_numpy())
+        shown = _raw_scores(model, taught.select("label", "n", "features")).toArrow()
+    calibrated = Calibration(shown["raw"].to_numpy(), shown["label"].to_numpy(), shown["n"].to_numpy())
 
     @F.arrow_udf("double")
     def probability(raw: pa.Array) -> pa.Array:

@@ -78,13 +78,37 @@ def test_context_vectors(spark):
         for i in range(a, b):
             for j in range(max(a, i - 2), min(b, i + 3)):
                 want[ids[i]] += around[ids[j]] * (i != j)
-    old = quality.NONZERO
-    try:
-        quality.NONZERO = 2
-        got = quality.context_vectors(docs, 64, 8)
-    finally:
-        quality.NONZERO = old
-    assert got.shape == want.shape
+    assert (quality.context_vectors(docs, 64, 8, nonzero=2) == want).all()
+    stored = quality.feature_table(docs, 64)
+    assert (quality.context_vectors(stored, 64, 8, nonzero=2) == want).all()
+    # pooled: the mean of the features' vectors, from texts and from stored runs
+    vectors = quality.word_vectors(want.astype(np.float32), 2)
+    runs = {r["doc_id"]: r["features"] for r in stored.collect()}
+    by_text = quality.pooled_vectors(pa.array(texts), vectors)
+    by_run = quality.pooled_vectors(pa.array([runs[i] for i in range(4)], pa.list_(pa.int16())), vectors)
+    assert (by_text == by_run).all()
+    for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        assert runs[i] == ids[a:b].tolist()
+        mean = vectors[ids[a:b]].mean(axis=0) if b > a else np.zeros(16)
+        assert np.allclose(by_text[i, :16], mean, atol=1e-6)
+        assert np.isclose(by_text[i, 16], len(set(ids[a:b])) / max(b - a, 1)) and np.isclose(by_text[i, 17], np.log1p(b - a))
+
+
+def test_one_id_with_most_labels_and_documents(spark):
+    rng = random.Random(3)
+    labels = spark.range(30_000).selectExpr("cast(0 as long) AS doc_id", "1 AS quality", "0 AS toxic").unionByName(
+        spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 301)], "doc_id long, quality int, toxic int")
+    )
+    texts = made(300, EN, rng, 20)
+    docs = spark.range(3000).selectExpr("cast(0 as long) AS doc_id", "concat('river ', id % 7) AS text").unionByName(
+        spark.createDataFrame([(i + 1, t if i % 2 else t + " you scum") for i, t in enumerate(texts)], "doc_id long, text string")
+    )
+    chosen = quality.sampled_labels(labels, 2000, "doc_id", "quality", F.lit(True))
+    taught = quality.taught_rows(docs, chosen, "text").collect()
+    assert len(taught) == 301 and {r["doc_id"]: r["n"] for r in taught}[0] == 30_000
+    assert quality.sampled_labels(labels, 100, "doc_id", "quality", F.lit(True)).count() < 150
+    scored = toxicity.train_and_score(docs, labels, F.lit(True), train_rows=2000)
+    assert scored.count() == 3300
 
 
 def test_calibration_is_isotonic():
