@@ -123,9 +123,12 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns. ``df`` is read twice, so pass a stored table."""
+    """The rows of ``df`` that stay, with all their columns.
+
+    The numbered rows are stored: a number made anew in each scan would follow how files are dealt to the cores at hand.
+    """
     row = free_name(df.columns, "_row")
-    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    numbered = materialize(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
     found = exact_duplicates(numbered, id_col, text_col, F.col(row))
     dropped = found.filter(~F.col("kept")).select(F.col("row").alias(row))
     return numbered.join(dropped, row, "left_anti").select(*df.columns)

@@ -184,14 +184,19 @@ def hex_print(column: Column) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component, the first by doc_id, with all its columns. ``df`` is read twice, so pass a stored table."""
-    # rows are numbered, as ids may repeat or be null
+def drop_near_duplicates(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, distance: int = DISTANCE
+) -> DataFrame:
+    """One row of each component, the first by doc_id, with all its columns.
+
+    Rows are numbered, as ids may repeat or be null, and stored with their numbers: a number made anew in each scan
+    would follow how files are dealt to the cores at hand.
+    """
     row = free_name(df.columns, "_row")
-    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    numbered = materialize(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
     # null ids come last
     key = F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), F.col(row).alias("row"))
     keyed = numbered.select(key.alias("key"), F.col(text_col).alias("text"))
-    found = near_duplicates(keyed, "key", "text")
+    found = near_duplicates(keyed, "key", "text", words, distance)
     dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.row").alias(row))
     return numbered.join(dropped, row, "left_anti").select(*df.columns)

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -114,3 +115,24 @@ def test_drop_near_duplicates(docs):
     groups = {r["component_id"] for r in simhash.near_duplicates(docs).collect()}
     assert kept.count() == len(groups)
     assert {r["doc_id"] for r in kept.collect()} == groups
+
+
+@pytest.mark.parametrize("drop", [exact.drop_exact_duplicates, simhash.drop_near_duplicates])
+def test_rows_do_not_follow_the_cores(spark, tmp_path, drop):
+    """The same rows stay when files are dealt to another number of tasks between planning and running."""
+    rows = [(i, f"text {i % 150} of the river and the stone {i % 150}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.repartition(20, "doc_id").write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    try:
+        spark.conf.set("spark.sql.files.minPartitionNum", "2")
+        kept = drop(stored)
+        spark.conf.set("spark.sql.files.minPartitionNum", "16")
+        got = [r["text"] for r in kept.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum") if before is None else spark.conf.set("spark.sql.files.minPartitionNum", before)
+    if drop is exact.drop_exact_duplicates:
+        assert sorted(got) == sorted({t for _, t in rows})
+    else:
+        assert len(got) == simhash.near_duplicates(stored).select("component_id").distinct().count()
