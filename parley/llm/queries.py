@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, decontaminate, edit_counts, exact, language, license_rules, quality, simhash, token_output, toxicity
+from parley.llm import alignment, bpe, decontaminate, edit_counts, exact, language, license_rules, quality, simhash, token_output, toxicity, vector_copies, whitening
 from parley.llm.common import held_out
 from parley.session import scratch_path
 
@@ -110,3 +110,25 @@ WITH d AS (
 SELECT doc_id, max(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PARTITION BY n) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY n) AS kept, sha256(n) AS text_sha256
 FROM d"""
+
+
+@query
+def op11_token_alignment(spark, sf_dir):
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "c")
+    # a deviation that no long can hold is null
+    deviation = F.col("deviation").try_cast("long").alias("deviation")
+    return found.select("vec_id", "n", deviation, "identity_error", each).select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error"
+    )
+
+
+@query
+def op13_vector_copies(spark, sf_dir):
+    return vector_copies.near_copies(table(spark, sf_dir, "embeddings"))
