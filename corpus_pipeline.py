@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import public_tokenizers  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from parley.llm import bpe, decontaminate, exact, minhash, quality  # noqa: E402
+from parley.llm import bpe, decontaminate, exact, quality, simhash  # noqa: E402
 from parley.llm.common import held_out  # noqa: E402
 from parley.session import materialize  # noqa: E402
 
@@ -30,7 +30,7 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.drop_near_duplicates(docs)
+    return simhash.drop_near_duplicates(docs, words=simhash.SHINGLE_WORDS, distance=simhash.DISTANCE)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
