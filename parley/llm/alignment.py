@@ -164,7 +164,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
     """
     places, parts, size = [], [], 0
     for i, text in enumerate(texts):
-        for part in safe_parts(" " + text, CHUNK_CHARS) if text else ():
+        for part in filter(None, safe_parts(" " + text, CHUNK_CHARS)) if text else ():
             if size and size + len(part) > CHUNK_CHARS:
                 yield places, parts
                 places, parts, size = [], [], 0

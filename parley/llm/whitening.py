@@ -101,11 +101,16 @@ def _refined(matrix: np.ndarray, middle: float, found: np.ndarray, norm: float,
         return v / np.linalg.norm(v)
 
     def solved(shift: float, v: np.ndarray) -> np.ndarray:
-        try:
-            return np.linalg.solve(matrix - shift * np.eye(n), v)
-        except np.linalg.LinAlgError:
-            # the shift is an eigenvalue; a hair beside it the system can be solved
-            return np.linalg.solve(matrix - (shift + 4 * np.finfo(float).eps * norm) * np.eye(n), v)
+        # where the shift is an eigenvalue, a hair beside it the system can be solved
+        for beside in (0.0, 4.0, 16.0):
+            try:
+                out = np.linalg.solve(matrix - (shift + beside * np.finfo(float).eps * norm) * np.eye(n), v)
+            except np.linalg.LinAlgError:
+                continue
+            most = np.abs(out).max()
+            if np.isfinite(most) and most > 0:
+                return out / most
+        raise ArithmeticError("no shift near the eigenvalue can be solved")
 
     v = apart(np.random.default_rng(seed).normal(size=n))
     for _ in range(3):

@@ -40,8 +40,10 @@ def plain_alignment(texts, libraries):
     tokens = [plain_tokens(t, libraries) for t in texts]
     links = []
     for ids_a, end_a, ids_b, end_b in tokens:
-        spans_a, spans_b = list(zip([0, *end_a], end_a, ids_a)), list(zip([0, *end_b], end_b, ids_b))
-        links.append([(x, y) for lo, hi, x in spans_a for lo2, hi2, y in spans_b if lo < hi2 and lo2 < hi])
+        # the tokens of each byte; neighbouring bytes of the same two tokens are one link
+        of_a = [i for i, (lo, hi) in enumerate(zip([0, *end_a], end_a)) for _ in range(lo, hi)]
+        of_b = [i for i, (lo, hi) in enumerate(zip([0, *end_b], end_b)) for _ in range(lo, hi)]
+        links.append([(ids_a[i], ids_b[j]) for i, j in dict.fromkeys(zip(of_a, of_b))])
     counts, best = Counter(p for found in links for p in set(found)), defaultdict(int)
     for (x, _), n in counts.items():
         best[x] = max(best[x], n)
@@ -49,8 +51,13 @@ def plain_alignment(texts, libraries):
     for (ids_a, end_a, ids_b, end_b), found in zip(tokens, links):
         shared = sorted(set(end_a) & set(end_b))
         groups = []
-        for lo, hi in zip([0, *shared], shared):
-            parts = [",".join(str(i) for i, e in zip(ids, ends) if lo < e <= hi) for ids, ends in ((ids_a, end_a), (ids_b, end_b))]
+        left_a, left_b = list(zip(end_a, ids_a)), list(zip(end_b, ids_b))
+        for hi in shared:
+            parts = []
+            for left in (left_a, left_b):
+                n = [e for e, _ in left[:200]].index(hi) + 1
+                parts.append(",".join(str(i) for _, i in left[:n]))
+                del left[:n]
             groups.append("|".join(parts))
         digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
         n_best = sum(counts[p] == best[p[0]] for p in found)

@@ -65,7 +65,7 @@ def plain_whitening(vectors, most=16):
 def test_whiten(spark):
     rng = np.random.default_rng(9)
     vectors = {i: [float(np.float32(c)) for c in rng.normal(size=6) * [9, 7, 5, 3, 2, 1]] for i in range(60)}
-    vectors |= {100: vectors[3], 101: vectors[3], 102: None, 103: [1.0, None, 0, 0, 0, 0], 104: [float("nan")] * 6, 105: [float("inf")] + [0.0] * 5, 106: [], 107: [1.0, 2.0]}
+    vectors |= {100: vectors[3], 101: vectors[3], 102: None, 103: [1.0, None, 0.0, 0.0, 0.0, 0.0], 104: [float("nan")] * 6, 105: [float("inf")] + [0.0] * 5, 106: [], 107: [1.0, 2.0]}
     rows = [(i, v, "label", 7) for i, v in vectors.items()] + [(3, vectors[3], "again", 8), (None, vectors[5], None, 9)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, n string, x int")
     want_n, deviation, values, basis, centred, trace = plain_whitening({i: v for i, v in vectors.items() if i not in (106, 107)})
