@@ -49,7 +49,7 @@ BATCH_BYTES = 4 << 20
 CHUNK_CHARS = 1_000_000
 SHARD_PAIRS = 4096
 TABLE_PAIRS = 2 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 240_000
 # The mark of a space in B's pieces, and the id that stands for a piece that is not given back.
 MARK = "▁"
 LOST = 0xFFFFFFFF
@@ -164,7 +164,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
     """
     places, parts, size = [], [], 0
     for i, text in enumerate(texts):
-        for part in filter(None, safe_parts(" " + text, CHUNK_CHARS)) if text else ():
+        for part in safe_parts(" " + text, CHUNK_CHARS, blanks_only=True) if text else ():
             if size and size + len(part) > CHUNK_CHARS:
                 yield places, parts
                 places, parts, size = [], [], 0

@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -255,16 +256,26 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def safe_parts(text: str, most: int = CHUNK_CHARS) -> Iterator[str]:
-    """A long text cut before white characters that follow others: a piece always begins there."""
+# Places where a piece always begins: white space after anything else; a sign or a digit after a letter.
+_WHITE = "".join(map(chr, WHITE_SPACE)).replace("-", "\\-")
+_AT_BLANK = re.compile(f"(?<=[^{_WHITE}])(?=[{_WHITE}])")
+_AT_SIGN = re.compile("(?<=[A-Za-z])(?=[!-@\\[-`{-~])|(?<=[\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff])(?=[!-@\u3001\u3002\uff01\uff0c\uff1f])")
+
+
+def safe_parts(text: str, most: int = CHUNK_CHARS, blanks_only: bool = False) -> Iterator[str]:
+    """A long text cut where a piece always begins: before white characters that follow others, and where none come for
+    ``most`` characters, at a sign after a letter (unless ``blanks_only``)."""
     begin = 0
     while len(text) - begin > most:
-        cut = begin + most
-        while cut < len(text) and not (text[cut].isspace() and not text[cut - 1].isspace()):
-            cut += 1
-        yield text[begin:cut]
-        begin = cut
-    yield text[begin:]
+        found = _AT_BLANK.search(text, begin + most, min(len(text), begin + 2 * most) if not blanks_only else len(text))
+        if not found and not blanks_only:
+            found = _AT_SIGN.search(text, begin + most) or _AT_BLANK.search(text, begin + most)
+        if not found or found.start() >= len(text):
+            break
+        yield text[begin : found.start()]
+        begin = found.start()
+    if begin < len(text) or not text:
+        yield text[begin:]
 
 
 class Encoded:

@@ -8,8 +8,9 @@ diagonals. Bands overlap by half, so that each copy lies in one. Bands that meet
 item at once, within their diagonals; the edit distance decides. No step loses a copy within the budget.
 
 The budget k is ``edit_rate`` of the item's length, lowered for short items so that at least LEAST_SHARED q-grams stay.
-Items with fewer than ``least_chars`` normalised characters match nothing. The items are the query set: they reach the
-tasks in blocks of at most ``block_chars`` characters, each block in one pass over the documents.
+Items with fewer than ``least_chars`` normalised characters, for which edits would leave too little, match exactly and at word
+bounds (in scripts without blanks, anywhere). The items are the query set: they reach the tasks in blocks of at most
+``block_chars`` characters, each block in one pass over the documents.
 
 Null and empty texts and items match nothing. Equal items are each reported. Of several copies of an item in a document
 the one with the fewest edits is reported, then the first. Repeated rows are searched each. An empty benchmark, or no
@@ -39,6 +40,8 @@ MARK_BITS = 22
 ALIGNED = 512
 _BASE = 0x9E3779B97F4A7C15
 _BETWEEN = 0x110000
+# Code points from here on are of scripts that mostly write no blanks.
+_UNSPACED = 0x2E80
 
 
 def _normal_table() -> np.ndarray:
@@ -114,8 +117,19 @@ class Benchmark:
         # lengths double from group to group, so there are few; each has a bit in the table of marks
         self.marks = np.zeros(1 << MARK_BITS, np.uint32)
         powers = np.floor(np.log2(np.maximum(self.size, 1)))[searched]
+        self.short = self._short(max(least_chars, q))
         self.groups = [self._group(searched[powers == p], 1 << bit) for bit, p in enumerate(np.unique(powers))]
 
+    def _short(self, limit: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, hashes in order, their items) of the items below ``limit``, by length."""
+        out = []
+        for n in np.unique(self.size[(self.size > 0) & (self.size < limit)]):
+            items = np.flatnonzero(self.size == n)
+            hashes = np.concatenate([qgram_hashes(self.codes[i], int(n)) for i in items])
+            order = np.argsort(hashes, kind="stable")
+            out.append((int(n), hashes[order], items[order]))
+        return out
+
     def _group(self, items: np.ndarray, bit: int) -> Group:
         hashes = [qgram_hashes(self.codes[i], self.q) for i in items]
         grams = np.concatenate(hashes)
@@ -192,6 +206,29 @@ def align(item: np.ndarray, windows: np.ndarray, edits: int, slack: int) -> tupl
     return value // unit, value % unit, len(item) + end - edits
 
 
+def _whole_words(code: np.ndarray, begin: int, end: int) -> bool:
+    """Whether a run of characters begins and ends at word bounds; letters of scripts without blanks need none."""
+
+    def bound(left: int, right: int) -> bool:
+        return not (0 < left < _UNSPACED and 0 < right < _UNSPACED and left != 32 and right != 32)
+
+    first = begin == 0 or bound(int(code[begin - 1]), int(code[begin]))
+    return first and (end == len(code) or bound(int(code[end - 1]), int(code[end])))
+
+
+def _short_hits(bench: Benchmark, code: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(item, begin, end) of the first exact place of each short item in a text's normalised characters."""
+    for n, hashes, items in bench.short:
+        found = qgram_hashes(code, n)
+        lo, hi = np.searchsorted(hashes, found), np.searchsorted(hashes, found, side="right")
+        seen: set[int] = set()
+        for at in np.flatnonzero(hi > lo):
+            for item in items[lo[at] : hi[at]]:
+                if item not in seen and (code[at : at + n] == bench.codes[item]).all() and _whole_words(code, int(at), int(at) + n):
+                    seen.add(item)
+                    yield int(item), int(at), int(at) + n
+
+
 def search(bench: Benchmark, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     """(text, item, begin, end, edits) of each item found in each text; begin and end are places in the text."""
     out: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -215,6 +252,9 @@ def _search_chunk(bench: Benchmark, texts: list[str], base: int, out: dict) -> N
     hashes = qgram_hashes(code, bench.q)
     doc_of = np.repeat(np.arange(len(texts)), sizes + 1)[: len(hashes)]
     rows = band_candidates(bench, hashes, doc_of)
+    for d, (own, origin) in enumerate(normal if bench.short else []):
+        for item, b, e in _short_hits(bench, own):
+            out[base + d, item] = (int(origin[b]), int(origin[e - 1]) + 1, 0)
     bounds = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0])) if len(rows) else []
     for lo, hi in zip(bounds, [*bounds[1:], len(rows)]):
         item = int(rows[lo, 0])

@@ -24,7 +24,9 @@ from parley.llm.common import map_batches, worker_state
 BUCKETS = 1 << 15
 ORDERS = (2, 3, 4)
 SMOOTHING = 0.5
-ROUNDS = 15
+# Steps of expectation-maximisation at most. Proportions move by less than TOLERANCE long before on nearly all texts.
+ROUNDS = 200
+TOLERANCE = 1e-3
 PIECE_CHARS = 1 << 20
 UNKNOWN = "und"
 
@@ -101,7 +103,7 @@ def proportions(chances: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -
         joint = chances * weights
         share = counts @ (joint / joint.sum(axis=1, keepdims=True))
         new = share / share.sum()
-        if np.abs(new - weights).max() < 1e-3:
+        if np.abs(new - weights).max() < TOLERANCE:
             return new
         weights = new
     return weights

@@ -79,21 +79,46 @@ SENTENCES = {
     "spdx-cc-by-nd": ["SPDX-License-Identifier: CC-BY-ND-4.0"],
     "spdx-cc0": ["SPDX-License-Identifier: CC0-1.0"],
     "rights-reserved": ["Copyright, all rights reserved.", "All rights reserved."],
+    "mit-liability": ["IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
+    "bsd-as-is": ["THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."],
+    "bsd-liability": ["IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."],
+    "isc-as-is": ["THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."],
+    "isc-liability": ["IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."],
+    "mpl-copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "gpl-written": ["You should have received a copy of the GNU General Public License along with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."],
+    "gpl-see": ["If not, see <https://www.gnu.org/licenses/>.", "If not, see <http://www.gnu.org/licenses/>."],
+    "unlicense-anyone": ["Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
+    "zlib-as-is": ["This software is provided 'as-is', without any express or implied warranty."],
+    "zlib-liability": ["In no event will the authors be held liable for any damages arising from the use of this software."],
+    "zlib-grant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"],
+    "boost-grant": ["Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:"],
+    "boost-reference": ["Distributed under the Boost Software License, Version 1.0."],
+    "epl-terms": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"],
+    "spdx-zlib": ["SPDX-License-Identifier: Zlib"],
+    "spdx-boost": ["SPDX-License-Identifier: BSL-1.0"],
+    "spdx-epl": ["SPDX-License-Identifier: EPL-2.0"],
 }
 
 # Licences by the sentences that make them, the longer rule before a shorter one that it contains.
 RULES = [
-    ("MIT", ["mit-grant", "mit-notice", "mit-as-is"]), ("MIT", ["mit-grant"]), ("MIT", ["mit-name"]),
+    ("MIT", ["mit-grant", "mit-notice", "mit-as-is", "mit-liability"]), ("MIT", ["mit-grant", "mit-notice", "mit-as-is"]), ("MIT", ["mit-grant"]), ("MIT", ["mit-name"]),
     ("MIT", ["mit-reference"]), ("MIT", ["spdx-mit"]),
     ("Apache-2.0", ["apache-grant", "apache-copy", "apache-as-is", "apache-limits"]), ("Apache-2.0", ["apache-grant"]),
     ("Apache-2.0", ["apache-reference"]), ("Apache-2.0", ["spdx-apache"]),
+    ("GPL-3.0", ["gpl-free", "gpl-hope", "gpl-details", "gpl-received", "gpl-see"]),
     ("GPL-3.0", ["gpl-free", "gpl-hope", "gpl-details", "gpl-received"]), ("GPL-3.0", ["gpl-free"]),
     ("GPL-3.0", ["gpl3-reference"]), ("GPL-3.0", ["spdx-gpl3"]), ("GPL-2.0", ["gpl2-reference"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is", "bsd-liability"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is", "bsd-liability"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]), ("BSD-3-Clause", ["spdx-bsd3"]),
-    ("ISC", ["isc-grant"]), ("MPL-2.0", ["mpl-terms"]), ("Unlicense", ["unlicense"]),
+    ("ISC", ["isc-grant", "isc-as-is", "isc-liability"]), ("ISC", ["isc-grant"]), ("MPL-2.0", ["mpl-terms", "mpl-copy"]),
+    ("MPL-2.0", ["mpl-terms"]), ("Unlicense", ["unlicense", "unlicense-anyone"]), ("Unlicense", ["unlicense"]),
+    ("Zlib", ["zlib-as-is", "zlib-liability", "zlib-grant"]), ("Zlib", ["zlib-grant"]), ("Zlib", ["spdx-zlib"]),
+    ("BSL-1.0", ["boost-grant"]), ("BSL-1.0", ["boost-reference"]), ("BSL-1.0", ["spdx-boost"]), ("EPL-2.0", ["epl-terms"]), ("EPL-2.0", ["spdx-epl"]),
     ("CC-BY-4.0", ["cc-by-reference"]), ("CC-BY-SA-4.0", ["cc-by-sa-reference"]), ("CC-BY-NC-4.0", ["cc-by-nc-reference"]),
     ("CC-BY-ND-4.0", ["cc-by-nd-reference"]), ("CC0-1.0", ["cc0-reference"]),
+    ("GPL-2.0", ["gpl2-free", "gpl-hope", "gpl-details", "gpl-written"]),
     ("GPL-2.0", ["gpl2-free", "gpl-hope", "gpl-details", "gpl-received"]), ("GPL-2.0", ["gpl2-free"]),
     ("LGPL-2.1", ["lgpl21-free"]), ("LGPL-3.0", ["lgpl3-free"]), ("AGPL-3.0", ["agpl3-free"]),
     ("GPL-2.0", ["spdx-gpl2"]), ("LGPL-2.1", ["spdx-lgpl21"]), ("LGPL-3.0", ["spdx-lgpl3"]), ("AGPL-3.0", ["spdx-agpl3"]),
@@ -166,9 +191,11 @@ class Recogniser:
                 while last < len(words) and unit_of[last] == unit_of[first]:
                     last += 1
                 reserved = self._known(words, first, closing)
+                # the sentence may run on over the line's end
+                last = max(last, first + len(reserved[0])) if reserved else last
                 ends_so = words[max(first, last - 3) : last] == ["all", "rights", "reserved"]
                 name = reserved[1] if reserved else "rights-reserved" if ends_so else "copyright"
-                out.append((name, begins[first], ends[last - 1], unit_of[first], unit_of[first]))
+                out.append((name, begins[first], ends[last - 1], unit_of[first], unit_of[last - 1]))
                 done = last
             elif known := self._known(words, first, closing):
                 last = first + len(known[0]) - 1
@@ -185,8 +212,9 @@ class Recogniser:
 
     def licences(self, text: str) -> list[tuple[str, list[str], int, int]]:
         """(licence, identifiers of its rule, begin, end), in the order of their places."""
-        found = [s for s in self.sentences(text) if s[0] != "copyright"]
-        between = [s for s in self.sentences(text) if s[0] == "copyright"]
+        known = self.sentences(text)
+        found = [s for s in known if s[0] != "copyright"]
+        between = [s for s in known if s[0] == "copyright"]
         taken, out = [False] * len(found), []
         for licence, names in self.rules:
             for i in range(len(found) - len(names) + 1):

@@ -148,6 +148,76 @@ def test_language(spark):
     assert {r["lang_pred"] for r in untaught.collect()} == {"und"}
 
 
+def test_em_against_plain_loops():
+    """Proportions, likelihoods and the language set, by loops over n-grams and languages."""
+    import math
+
+    def plain_em(chances, counts, rounds=200):
+        weights = [1 / len(chances[0])] * len(chances[0])
+        for _ in range(rounds):
+            share = [0.0] * len(weights)
+            for row, n in zip(chances, counts):
+                total = sum(c * w for c, w in zip(row, weights))
+                for i, (c, w) in enumerate(zip(row, weights)):
+                    share[i] += n * c * w / total
+            new = [s / sum(share) for s in share]
+            if max(abs(a - b) for a, b in zip(new, weights)) < 1e-3:
+                return new
+            weights = new
+        return weights
+
+    def likelihood(chances, counts, weights):
+        return sum(n * math.log(sum(c * w for c, w in zip(row, weights))) for row, n in zip(chances, counts))
+
+    rng = np.random.default_rng(6)
+    for true in ([1.0, 0, 0, 0], [0.6, 0.4, 0, 0], [0.3, 0.3, 0.4, 0], [0.25] * 4):
+        chances = rng.random((120, 4)) ** 3 + 1e-4
+        chances /= chances.sum(axis=0)
+        counts = rng.multinomial(900, chances @ np.array(true)).astype(float)
+        used = counts > 0
+        chances, counts = chances[used], counts[used]
+        assert np.allclose(language.proportions(chances, counts, 200), plain_em(chances.tolist(), counts.tolist()), atol=1e-9)
+        got, weights = language.language_set(np.log(chances), counts)
+        scaled = (chances / chances.max(axis=1, keepdims=True)).tolist()
+        chosen, best = list(range(4)), plain_em(scaled, counts)
+        value, penalty = likelihood(scaled, counts, best), 0.5 * math.log(counts.sum())
+        while len(chosen) > 1:
+            weakest = max(i for i, w in enumerate(best) if w == min(best))
+            fewer = [[c for i, c in enumerate(row) if i != weakest] for row in scaled]
+            again = plain_em(fewer, counts) if len(fewer[0]) > 1 else [1.0]
+            if likelihood(fewer, counts, again) < value - penalty:
+                break
+            chosen, scaled, best, value = [c for i, c in enumerate(chosen) if i != weakest], fewer, again, likelihood(fewer, counts, again)
+        assert got.tolist() == chosen and np.allclose(weights, best, atol=1e-6)
+
+
+def test_toxic_features_against_plain_loops():
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    words = ["you", "YOU", "idiot", "1d10t!", "river", "STONE", "m*ron", "scum,", "été", "42", "!!!", "Your", "fool.", "a"]
+    texts = ["", "   ", *[" ".join(rng.choice(words) for _ in range(n)) for n in (1, 2, 30, 120, 400)]]
+    learned, stated = frozenset(["stone"]), frozenset(toxicity.INSULTS)
+    got = toxicity.dense_features(pa.array(texts), tuple(learned))
+    place = {n: i for i, n in enumerate(toxicity.FEATURES)}
+    for text, row in zip(texts, got):
+        # a text without words counts as one empty word
+        flags = [toxicity.word_flags(w, stated, learned) for w in text.split() or [""]]
+        n, chars = max(len(flags), 1), max(len(text), 1)
+        hits = [i for i, f in enumerate(flags) if f & (toxicity.STATED | toxicity.LEARNED | toxicity.DECODED)]
+        seconds = [i for i, f in enumerate(flags) if f & toxicity.SECOND]
+        near = sum(any(abs(i - j) <= toxicity.NEAR_WORDS for j in seconds) for i in hits)
+        want = {
+            "stated": sum(f & toxicity.STATED > 0 for f in flags) / n, "learned": sum(f & toxicity.LEARNED > 0 for f in flags) / n,
+            "hits": np.log1p(len(hits)), "near": near / n, "second": len(seconds) / n, "shouted": sum(f & toxicity.SHOUTED > 0 for f in flags) / n,
+            "capitals": sum(c.isupper() for c in text) / chars, "exclamations": text.count("!") / chars,
+            "digits": sum(c in "0123456789" for c in text) / chars, "words": np.log1p(len(flags)),
+            "length": sum(map(len, text.split())) / n, "densest": max([sum(i // 50 == k for i in hits) for k in range(20)]),
+        }
+        for name, value in want.items():
+            assert np.isclose(row[place[name]], value), (name, text)
+
+
 def test_em_finds_the_proportions():
     rng = np.random.default_rng(3)
     chances = rng.random((500, 3)) ** 4

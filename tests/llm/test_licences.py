@@ -1,3 +1,4 @@
+import random
 import re
 import textwrap
 
@@ -65,3 +66,52 @@ def test_prefilter_keeps_every_known_sentence(spark):
     assert rows.where(rows.text.isNotNull()).filter(f"lower(text) rlike '{rules.TRIGGERS}'").count() == len(texts)
     notice = spark.createDataFrame([(1, "A text.\nAll rights reserved.\nMore.")], "doc_id int, text string")
     assert [r["licence"] for r in rules.scan_licences(notice).collect()] == ["Proprietary"]
+
+
+def plain_licences(text, sentences, rules_, gap):
+    """Every unit run and every rule tried, by plain loops over lists of words."""
+    units = [[w.lower() for w in re.findall(r"[^\W_]+", u)] for u in re.split(r"(?<=[.!?:])(?=\s)|\n", text)]
+    units = [u for u in units if u]
+    known = {tuple(w.lower() for w in re.findall(r"[^\W_]+", t)): name for name, texts in sentences.items() for t in texts}
+    found, at = [], 0
+    while at < len(units):
+        runs = [(end, known.get(tuple(w for u in units[at:end] for w in u))) for end in range(len(units), at, -1)]
+        end, name = next(((e, n) for e, n in runs if n), (at + 1, None))
+        if name:
+            found.append((name, at, end - 1))
+        at = end
+    out, taken = [], set()
+    for licence, names in rules_:
+        for i in range(len(found) - len(names) + 1):
+            run = found[i : i + len(names)]
+            near = all(b[1] - a[2] - 1 <= gap for a, b in zip(run, run[1:]))
+            if [r[0] for r in run] == names and near and not taken & set(range(i, i + len(names))):
+                taken |= set(range(i, i + len(names)))
+                out.append((i, licence, names))
+    return [(licence, names) for _, licence, names in sorted(out)]
+
+
+def test_rules_against_plain_loops():
+    rng, known = random.Random(11), rules.Recogniser()
+    names = [n for n in rules.SENTENCES if n != "rights-reserved"]
+    hits = 0
+    for _ in range(300):
+        parts = []
+        while len(parts) < 12:
+            _, rule = rng.choice(rules.RULES)
+            for n in rule if rng.random() < 0.8 else rng.sample(names, 2):
+                parts.append(textwrap.fill(rng.choice(rules.SENTENCES[n]), rng.choice([30, 60, 500])))
+                parts += ["Some other text."] * rng.choice([0, 0, 0, 1, 2, 3])
+        text = "\n".join(parts)
+        got = [(x[0], x[1]) for x in known.licences(text)]
+        assert got == plain_licences(text, rules.SENTENCES, rules.RULES, rules.GAP_UNITS), text
+        hits += len(got)
+    assert hits > 1000
+
+
+def test_whole_texts():
+    known = rules.Recogniser()
+    bsd = full("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is", "bsd-liability")
+    assert [x[0] for x in known.licences("Copyright (c) 2020, X\nAll rights reserved.\n\n" + bsd)] == ["BSD-3-Clause"]
+    for names, licence in ((["isc-grant", "isc-as-is", "isc-liability"], "ISC"), (["mpl-terms", "mpl-copy"], "MPL-2.0"), (["zlib-as-is", "zlib-liability", "zlib-grant"], "Zlib")):
+        assert [x[0] for x in known.licences(full(*names))] == [licence]
