@@ -60,6 +60,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def bucketed_table(spark: SparkSession, path: str, columns: str, bucket_by: str, buckets: int, partition: str) -> str:
+    """The name of a table over ``path`` (its files, now or later) that is bucketed by one column and partitioned by another.
+
+    Its files are in place, and so is its name's only meaning: a join or grouping by the bucket column reads it without a shuffle.
+    """
+    name = f"parley_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}, `{partition}` INT) USING parquet PARTITIONED BY (`{partition}`) "
+        f"CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    if path_exists(spark, path):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    return name
+
+
+def swap_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``. Until the last step the old one stays beside it, see recover_folder."""
+    recover_folder(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    old, target = hadoop(f"{path}.old"), hadoop(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target) and not files.rename(target, old):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(hadoop(fresh), target):
+        raise OSError(f"cannot move {fresh}")
+    files.delete(old, True)
+
+
+def recover_folder(spark: SparkSession, path: str) -> None:
+    """Undo or finish a swap that was cut off."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    old, target = hadoop(f"{path}.old"), hadoop(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(old):
+        if files.exists(target):
+            files.delete(old, True)
+        else:
+            files.rename(old, target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
