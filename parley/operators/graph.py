@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.columns import engagement_tier, epoch_millis, message_id
+from parley.operators.joins import lookup_join
 from parley.operators.pairs import BLOCK, member_pairs
 from parley.session import materialize
 
@@ -55,20 +52,22 @@ def about_edges(df: DataFrame) -> DataFrame:
 
 
 def graph_nodes(df: DataFrame) -> DataFrame:
-    """All vertices as (label, id)."""
-    frames = [
-        df.select(F.lit("User").alias("label"), F.col("userid").alias("id")).distinct(),
-        campaign_nodes(df).select(F.lit("Campaign").alias("label"), F.col("campaign_id").alias("id")),
-        with_message_id(df).select(F.lit("Message").alias("label"), F.col("message_id").alias("id")).distinct(),
-    ]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    """All vertices as (label, id), in one pass over the messages."""
+    node = F.inline(F.array(
+        F.struct(F.lit("User").alias("label"), F.col("userid").alias("id")),
+        F.struct(F.lit("Campaign").alias("label"), F.col("campaign").alias("id")),
+        F.struct(F.lit("Message").alias("label"), F.col("message_id").alias("id")),
+    ))
+    return with_message_id(df).select("userid", "campaign", "message_id").select(node).filter("label <> 'Campaign' OR id IS NOT NULL").distinct()
 
 
 def graph_edges(df: DataFrame) -> DataFrame:
-    """SENT and ABOUT edges as (label, src, dst)."""
-    sent = sent_edges(df).select(F.lit("SENT").alias("label"), "src", "dst")
-    about = about_edges(df).select(F.lit("ABOUT").alias("label"), "src", "dst")
-    return sent.unionByName(about)
+    """SENT and ABOUT edges as (label, src, dst), in one pass over the messages."""
+    edge = F.inline(F.array(
+        F.struct(F.lit("SENT").alias("label"), F.col("userid").alias("src"), F.col("message_id").alias("dst")),
+        F.struct(F.lit("ABOUT").alias("label"), F.col("message_id").alias("src"), F.col("campaign").alias("dst")),
+    ))
+    return with_message_id(df).select("userid", "campaign", "message_id").select(edge).filter("label <> 'ABOUT' OR dst IS NOT NULL").distinct()
 
 
 def merge_missing(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -118,60 +117,6 @@ def user_similarity(df: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
-def similar_users_all(df: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
-    """The k users that share most campaigns with each user: user_id, neighbour, weight, rank. Ties go to the smaller id.
-
-    No table of pairs is made. Users are numbered into blocks by hash. For each pair of blocks one task counts the
-    common campaigns of their users in a matrix of block x block and keeps k neighbours of each user; those are merged.
-    The counting is quadratic in the users, as every pair may matter, but what is written is linear.
-    """
-    pairs = materialize(user_campaigns(df), "user_campaigns")
-    users = pairs.select("userid").distinct().count()
-    blocks = max(1, math.ceil(users / block))
-    home = F.pmod(F.xxhash64("userid"), F.lit(blocks)).cast("int")
-    placed = pairs.select("userid", "campaign", home.alias("home"))
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    keys = ["left", "right"]
-    left = placed.select(F.col("home").alias("left"), others.alias("right"), "userid", "campaign")
-    right = placed.select(others.alias("left"), F.col("home").alias("right"), "userid", "campaign")
-
-    def nearest(a: pa.Table, b: pa.Table) -> pa.Table:
-        (an, ai), (bn, bi) = _numbered(a["userid"]), _numbered(b["userid"])
-        _, campaigns = _numbered(pa.chunked_array([*a["campaign"].chunks, *b["campaign"].chunks], pa.string()))
-        ac, bc = campaigns[: len(ai)], campaigns[len(ai) :]
-        common = np.zeros((len(an), len(bn)), np.int32)
-        ao, bo = np.argsort(ac, kind="stable"), np.argsort(bc, kind="stable")
-        for c in np.intersect1d(ac, bc):
-            u = ai[ao[np.searchsorted(ac, c, "left", ao) : np.searchsorted(ac, c, "right", ao)]]
-            v = bi[bo[np.searchsorted(bc, c, "left", bo) : np.searchsorted(bc, c, "right", bo)]]
-            common[np.ix_(u, v)] += 1
-        common[np.asarray(an)[:, None] == np.asarray(bn)[None, :]] = 0
-        # users of the right side are in order, so a stable sort breaks ties by id
-        best = np.argsort(-common, axis=1, kind="stable")[:, :k]
-        weight = np.take_along_axis(common, best, axis=1)
-        at, place = np.nonzero(weight)
-        found = best[at, place]
-        return pa.table(
-            {
-                "user_id": pa.array([an[i] for i in at], pa.string()), "neighbour": pa.array([bn[i] for i in found], pa.string()),
-                "weight": pa.array(weight[at, place].astype(np.int64)),
-            }
-        )
-
-    spark = df.sparkSession
-    partitions = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks * blocks))
-    left, right = left.repartition(partitions, *keys), right.repartition(partitions, *keys)
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(nearest, "user_id string, neighbour string, weight long")
-    order = Window.partitionBy("user_id").orderBy(F.desc("weight"), "neighbour")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-
-def _numbered(values: pa.ChunkedArray) -> tuple[list[str], np.ndarray]:
-    """The different values in order, and the number of each value."""
-    names, number = np.unique(np.array(values.to_pylist(), dtype=object), return_inverse=True)
-    return names.tolist(), number
-
-
 def similar_users(df: DataFrame, user_id: str, k: int = 5) -> DataFrame:
     """The k users that share most campaigns with one user.
 
@@ -204,20 +149,20 @@ def similar_users_from_edges(edges: DataFrame, user_id: str, k: int = 5) -> Data
     )
 
 
-def campaigns_for_users(df: DataFrame, users: list[str] | DataFrame) -> DataFrame:
-    """Campaigns that any of the given users wrote about, by number of those users.
-
-    Each row also names them, so it is as long as the users asked for; ``user_campaigns`` has the plain pairs.
-    """
-    pairs = user_campaigns(df)
-    if isinstance(users, DataFrame):
-        pairs = pairs.join(users.select("userid"), "userid", "left_semi")
-    else:
-        pairs = pairs.filter(F.col("userid").isin(users))
+def campaigns_for_users(df: DataFrame, users: list[str]) -> DataFrame:
+    """Campaigns that any of a few named users wrote about, by number of those users, who are listed."""
+    pairs = user_campaigns(df).filter(F.col("userid").isin(users))
     found = [F.count("*").alias("user_count"), F.array_sort(F.collect_list("userid")).alias("user_list")]
     return pairs.groupBy(F.col("campaign").alias("campaign_id")).agg(*found).orderBy(F.desc("user_count"), "campaign_id")
 
 
+def campaign_users(df: DataFrame, users: DataFrame) -> DataFrame:
+    """(campaign_id, userid, user_count): the same for a table of users, a row for each user, so that no row grows with the table."""
+    pairs = user_campaigns(df).join(users.select("userid").distinct(), "userid", "left_semi")
+    counts = pairs.groupBy("campaign").agg(F.count("*").alias("user_count"))
+    return lookup_join(pairs, counts, ["campaign"], "userid").select(F.col("campaign").alias("campaign_id"), "userid", "user_count")
+
+
 def graph_user_engagement(users: DataFrame, sent: DataFrame, messages: DataFrame) -> DataFrame:
     """Every user with message count, tier and time of the latest message; users without messages stay."""
     last = (

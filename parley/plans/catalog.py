@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.columns import stringify_nested
-from parley.operators import graph, knn, metrics, quality, recommend, telemetry, upsert
+from parley.operators import distinct, graph, knn, metrics, quality, recommend, similar, telemetry, upsert
 from parley.operators.embed import embed
-from parley.plans import views
+from parley.plans import jobs, views
 from parley.plans.report import analytics_report
 from parley.schemas import CONVERSATION
 from parley.session import materialize, scratch_path
@@ -22,6 +23,8 @@ from parley.streaming import events as stream
 DIM = views.EMBEDDING_DIM
 # cells of the exact searches: several at every size of the test tables
 CELLS = 16
+# a confidence that about half of the recommendations reach
+CONFIDENT = 0.9
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -239,8 +242,8 @@ def user_similarity(spark, sf_dir):
 
 @query
 def similar_users_all(spark, sf_dir):
-    """Blocks of 64 users, so that several pairs of blocks occur."""
-    found = graph.similar_users_all(views.interactions(spark, sf_dir), block=64)
+    """Few sets ask together, so that several groups of them occur."""
+    found = similar.similar_users_all(views.interactions(spark, sf_dir), asking=64, compared=100)
     return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -258,7 +261,7 @@ def campaigns_for_users(spark, sf_dir):
 def campaigns_for_user_table(spark, sf_dir):
     wealthy = views.table(spark, sf_dir, "customer").filter("c_acctbal > 5000")
     users = wealthy.select(F.concat(F.lit("u"), F.col("c_custkey")).alias("userid"))
-    return flat(graph.campaigns_for_users(views.interactions(spark, sf_dir), users))
+    return graph.campaign_users(views.interactions(spark, sf_dir), users)
 
 
 def _everyone(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,11 +353,11 @@ def upsert_counts(spark, sf_dir):
 
 @query
 def upsert_campaign_freq(spark, sf_dir):
-    df = views.interactions(spark, sf_dir)
-    pick = ["campaign_id", "engagement_count", "unique_users"]
-    stored = metrics.campaign_engagement_frequency(df.filter(F.col("timestamp") < HISTORY_END)).select(*pick)
-    arriving = metrics.campaign_engagement_frequency(df.filter(F.col("timestamp") >= ARRIVING_FROM)).select(*pick)
-    return upsert.upsert(stored, arriving, ["campaign_id"])
+    """The stored frequency table after the history and an overlapping later batch."""
+    df, root = views.interactions(spark, sf_dir), scratch_path(spark, "frequency")
+    jobs.update_campaign_frequency(spark, df.filter(F.col("timestamp") < HISTORY_END), root)
+    jobs.update_campaign_frequency(spark, df.filter(F.col("timestamp") >= ARRIVING_FROM), root)
+    return jobs.frequency_table(spark, root).read().select("campaign_id", "engagement_count", "unique_users")
 
 
 @query
@@ -406,6 +409,22 @@ def latency_recent(spark, sf_dir):
     return _latency(spark, sf_dir, telemetry.WINDOW_MINUTES)
 
 
+@query
+def latency_sketched(spark, sf_dir):
+    """From stored sketches of each endpoint and minute: counts and means, and whether each percentile's rank is near the wanted one."""
+    requests, path = views.request_log(spark, sf_dir), scratch_path(spark, "sketches")
+    # the log arrives in two batches, which share minutes
+    for half in (0, 1):
+        telemetry.minute_sketches(requests.filter(F.col("seq") % 2 == half)).write.mode("append").parquet(path)
+    stats = materialize(telemetry.sketched_latency(telemetry.merged_sketches(spark.read.parquet(path)), F.current_timestamp(), None), "stats")
+    ms = F.col("duration_seconds") * 1000
+    below = [F.count_if(ms <= F.col(n)).alias(f"{n}_below") for n in telemetry.PERCENTILES]
+    # an endpoint has one row of statistics
+    ranks = requests.join(F.broadcast(stats), "endpoint").groupBy("endpoint", "count", "avg_latency_ms").agg(*below)
+    near = [(F.abs(F.col(f"{n}_below") / F.col("count") - p) < 0.03).alias(f"{n}_near") for n, p in telemetry.PERCENTILES.items()]
+    return flat(ranks.select("endpoint", "count", "avg_latency_ms", *near))
+
+
 @query
 def latency_anomalies(spark, sf_dir):
     """A low threshold, so that some step exceeds it."""
@@ -425,6 +444,10 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
 
 
+def _asking(vectors: DataFrame) -> DataFrame:
+    return vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
+
+
 def _hits(df: DataFrame) -> DataFrame:
     return flat(df.select("qid", "id", "distance", F.col("rank").cast("bigint").alias("rank")))
 
@@ -432,44 +455,74 @@ def _hits(df: DataFrame) -> DataFrame:
 @query
 def knn_exact(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
-    return _hits(knn.knn(queries, knn.build_index(vectors, DIM, nlist=CELLS), 5, vector_block=200, query_block=50))
+    return _hits(knn.knn(_asking(vectors), knn.build_index(vectors, DIM, nlist=CELLS, block=20), 5, query_block=10))
 
 
 @query
 def knn_filtered(spark, sf_dir):
-    """Search after a metadata filter: only vectors of one label are candidates."""
+    """Searches of one saved index, each after a metadata filter: only vectors of one label are candidates."""
+    vectors = _vectors(spark, sf_dir)
+    path = scratch_path(spark, "index")
+    knn.build_index(vectors, DIM, nlist=CELLS, facets=["label"], path=path)
+    index = knn.load_index(spark, path)
+    found = [_hits(knn.knn(_asking(vectors), index, 5, where=F.col("label") == label)).withColumn("label", F.lit(label)) for label in (3, 7)]
+    return found[0].unionByName(found[1])
+
+
+@query
+def knn_growing(spark, sf_dir):
+    """An index that grows: half of the labels, then an overlapping rest with other vectors for those it replaces, then deletions
+    and their return. It answers like one that is built anew."""
     vectors = _vectors(spark, sf_dir)
-    queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
-    return _hits(knn.knn(queries, knn.build_index(vectors.filter(F.col("label") == 3), DIM, nlist=CELLS), 5))
+    path = scratch_path(spark, "index")
+    early = vectors.filter("label < 6")
+    turned = F.when(F.col("label") >= 4, F.transform("embedding", lambda x: -x)).otherwise(F.col("embedding"))
+    knn.build_index(early.withColumn("embedding", turned), DIM, nlist=CELLS, trainer="kmeans", block=20, path=path)
+    knn.append(knn.load_index(spark, path), vectors.filter("label >= 4"))
+    knn.delete(knn.load_index(spark, path), vectors.filter("label IN (1, 8)"))
+    knn.append(knn.load_index(spark, path), vectors.filter("label IN (1, 8)"))
+    return _hits(knn.knn(_asking(vectors), knn.load_index(spark, path), 5))
+
+
+@query
+def stream_index(spark, sf_dir):
+    """Vectors as a stream, each delivered twice, into a stored index that is then searched in every cell by codes."""
+    vectors = _vectors(spark, sf_dir)
+    source, path = scratch_path(spark, "arriving"), scratch_path(spark, "index")
+    knn.build_index(vectors.filter("label = 0"), DIM, nlist=CELLS, path=path)
+    for _ in range(2):
+        vectors.write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(vectors.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream.maintain_index(arriving, path, scratch_path(spark, "stream")).awaitTermination()
+    return _hits(knn.knn(_asking(vectors), knn.load_index(spark, path), 5, nprobe=CELLS, refine=100))
 
 
 @query
 def knn_ivf(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
     index = knn.build_index(vectors, DIM, nlist=knn.NLIST, trainer="kmeans")
-    return _hits(knn.knn(queries, index, 5, nprobe=knn.NPROBE))
+    return _hits(knn.knn(_asking(vectors), index, 5, nprobe=knn.NPROBE))
 
 
 @query
 def knn_ivf_all_cells(spark, sf_dir):
     """The approximate search with every cell probed, over an index that was saved and loaded: exact."""
     vectors = _vectors(spark, sf_dir)
-    queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
     path = scratch_path(spark, "index")
     knn.build_index(vectors, DIM, nlist=CELLS, trainer="kmeans").save(path)
-    return _hits(knn.knn(queries, knn.load_index(spark, path), 5, nprobe=CELLS))
+    return _hits(knn.knn(_asking(vectors), knn.load_index(spark, path), 5, nprobe=CELLS))
 
 
 @query
 def knn_ivf_recall(spark, sf_dir):
-    """How many exact neighbours the default search of few cells finds: at least 0.9 of them."""
+    """How many exact neighbours the default search finds, where it is used: at least 0.9 of the 5 and of the 50 nearest."""
     vectors = _vectors(spark, sf_dir)
-    queries = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
     index = knn.build_index(vectors, DIM, nlist=knn.NLIST, trainer="kmeans")
-    found = knn.recall(knn.knn(queries, index, 5, nprobe=knn.NPROBE), knn.knn(queries, index, 5))
-    return found.select("expected", (F.col("recall") >= 0.9).alias("enough"))
+    asking, found = _asking(vectors), []
+    for k in (recommend.SIMILAR_USERS, recommend.SIMILAR_USERS * recommend.POOL_FACTOR):
+        share = knn.recall(knn.knn(asking, index, k, nprobe=knn.NPROBE), knn.knn(asking, index, k))
+        found.append(share.select(F.lit(k).alias("k"), "expected", (F.col("recall") >= 0.9).alias("enough")))
+    return found[0].unionByName(found[1])
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -485,7 +538,7 @@ def user_centroids(spark, sf_dir):
 
 @query
 def similar_users_vector(spark, sf_dir):
-    similar = recommend.similar_users_vector(_messages(spark, sf_dir), DIM, nlist=CELLS)
+    similar = recommend.similar_users_vector(_messages(spark, sf_dir), DIM, search="exact", nlist=CELLS)
     return flat(similar.withColumn("rank", F.col("rank").cast("bigint")))
 
 
@@ -506,13 +559,13 @@ def recommendations(spark, sf_dir):
 @query
 def recommendations_filtered(spark, sf_dir):
     return _flat_recommendations(
-        recommend.recommendations(_messages(spark, sf_dir), DIM, search="exact", nlist=CELLS, min_confidence=0.7, include_explanation=False)
+        recommend.recommendations(_messages(spark, sf_dir), DIM, search="exact", nlist=CELLS, min_confidence=CONFIDENT, include_explanation=False)
     )
 
 
 @query
 def recommendations_fallback(spark, sf_dir):
-    everyone = views.interactions(spark, sf_dir).select("userid").distinct()
+    everyone = _everyone(spark, sf_dir).withColumnRenamed("user_id", "userid")
     return _flat_recommendations(
         recommend.recommendations(
             _messages(spark, sf_dir), DIM, search="exact", nlist=CELLS, include_explanation=False, fallback=True, users=everyone
@@ -638,3 +691,75 @@ def stream_daily_counts(spark, sf_dir):
     path = scratch_path(spark, "daily_counts")
     stream.maintain_daily_counts(arriving, path, scratch_path(spark, "stream"), delay="31 days").awaitTermination()
     return flat(spark.read.schema(stream.DAILY_COUNTS).parquet(path))
+
+
+@query
+def stream_distinct_users(spark, sf_dir):
+    """The events as a stream of three batches into bitmaps: messages and distinct users by day, by campaign, and by both."""
+    source, root = scratch_path(spark, "arriving"), scratch_path(spark, "distinct")
+    events = views.interactions(spark, sf_dir).select("userid", "campaign", F.col("timestamp").cast("timestamp").alias("timestamp"))
+    for part in range(3):
+        events.filter(F.pmod(F.xxhash64("userid", "timestamp"), F.lit(3)) == part).coalesce(1).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream.maintain_distinct_users(arriving, root, scratch_path(spark, "stream")).awaitTermination()
+    bitmaps = distinct.stored_bitmaps(spark, root)
+    day, campaign = F.col("activity_date").cast("string").alias("activity_date"), F.col("campaign").alias("campaign_id")
+    both = distinct.distinct_users(bitmaps, ["activity_date", "campaign"]).select(F.lit("both").alias("by"), day, campaign, "message_count", "unique_users")
+    days = distinct.distinct_users(bitmaps, ["activity_date"]).select(F.lit("day"), day, F.lit(None).cast("string"), "message_count", "unique_users")
+    campaigns = distinct.distinct_users(bitmaps, ["campaign"]).select(F.lit("campaign"), F.lit(None).cast("string"), campaign, "message_count", "unique_users")
+    return both.union(days).union(campaigns)
+
+
+def _tally(name: str, df: DataFrame, key: Column, n: Column) -> DataFrame:
+    return df.select(F.lit(name).alias("table"), key.cast("string").alias("key"), n.cast("bigint").alias("n"))
+
+
+@query
+def created_tables(spark, sf_dir):
+    """The declared tables, created, filled from the events, and read back by their names."""
+    database = f"parley_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    engagement, performance, daily, frequency = tables.create_tables(spark, database)
+    df = views.interactions(spark, sf_dir)
+    tables.fill_table(metrics.user_engagement(df), engagement)
+    tables.fill_table(metrics.campaign_performance(df), performance)
+    tables.fill_table(metrics.daily_activity(df), daily)
+    tables.fill_table(metrics.campaign_engagement_frequency(df), frequency)
+    out = _tally("user_engagement", spark.table(engagement), F.col("user_id"), F.col("message_count"))
+    out = out.union(_tally("campaign_performance", spark.table(performance), F.col("campaign_id"), F.col("total_messages")))
+    days = F.concat_ws(" ", F.col("activity_date").cast("string"), F.col("user_id"))
+    out = out.union(_tally("user_activity_daily", spark.table(daily), days, F.col("message_count")))
+    return out.union(_tally("campaign_engagement_frequency", spark.table(frequency), F.col("campaign_id"), F.col("unique_users")))
+
+
+def _metric_tallies(spark: SparkSession, root: str) -> DataFrame:
+    read = spark.read.parquet
+    out = _tally("user_engagement", read(f"{root}/user_engagement"), F.col("user_id"), F.col("message_count"))
+    out = out.union(_tally("campaign_performance", read(f"{root}/campaign_performance"), F.col("campaign_id"), F.col("total_messages")))
+    days = F.concat_ws(" ", F.col("activity_date").cast("string"), F.col("user_id"))
+    out = out.union(_tally("user_activity_daily", read(f"{root}/user_activity_daily"), days, F.col("message_count")))
+    report = spark.read.json(f"{root}/reports/analytics_report")
+    return out.union(_tally("report", report, F.lit("total_messages"), F.col("summary.total_messages")))
+
+
+@query
+def metrics_job_tables(spark, sf_dir):
+    """The metrics job, run twice, and the tables and the report that it leaves."""
+    root, df = scratch_path(spark, "metrics_job"), views.interactions(spark, sf_dir)
+    for _ in range(2):
+        jobs.metrics_job(spark, df, root)
+    return _metric_tallies(spark, root)
+
+
+@query
+def whole_run_tables(spark, sf_dir):
+    """The whole pipeline over all events as JSON Lines, and what it leaves: metrics, documents, vectors, graph, frequencies, run log."""
+    source, root = scratch_path(spark, "run_events"), scratch_path(spark, "run")
+    _event_texts(spark, sf_dir).write.json(source)
+    jobs.run_pipeline(spark, root, source, dim=DIM, multi_line=False)
+    read, n = spark.read.parquet, F.count("*").alias("n")
+    out = _metric_tallies(spark, root)
+    for name, key in (("documents", "userid"), ("vectors", "user_id"), ("graph/sent", "src"), ("graph/about", "dst"), ("step_metrics", "step_name")):
+        out = out.union(_tally(name, read(f"{root}/{name}").groupBy(key).agg(n), F.col(key), F.col("n")))
+    frequency = jobs.frequency_table(spark, root).read()
+    return out.union(_tally("frequency", frequency, F.col("campaign_id"), F.col("unique_users")))

@@ -15,8 +15,9 @@ from parley import schemas
 from parley.operators import graph, metrics, quality, telemetry
 from parley.operators.embed import EMBEDDING_DIM, embed
 from parley.operators.recommend import recommendations
+from parley.operators.similar import similar_users_all
 from parley.plans.report import analytics_report
-from parley.session import materialize, scratch_scope
+from parley.session import recover_folder, scratch_scope, swap_folder
 from parley.sources import tables
 from parley.sources.events import ingest
 
@@ -91,24 +92,29 @@ class RunLog:
             ("step_metrics", self.steps, schemas.STEP_METRICS),
             ("lineage", self.lineage, schemas.LINEAGE),
         ):
+            recover_folder(self.spark, f"{self.root}/{name}")
             if rows:
                 self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
         keep_latest(self.spark, f"{self.root}/runs", telemetry.KEEP_RUNS, [F.desc("start_time"), F.desc("run_id")])
 
 
 def keep_latest(spark: SparkSession, path: str, n: int, order: list[Column]) -> None:
-    """Rewrite a log to its latest ``n`` rows, once it has twice as many. The new rows are stored before the old go."""
+    """Cut a log to its latest ``n`` rows. They are written aside first and then take the log's place."""
     log = spark.read.parquet(path)
-    if log.count() > 2 * n:
-        kept = materialize(telemetry.retain_last(log, n, order), "kept_log")
-        kept.coalesce(1).write.mode("overwrite").parquet(path)
+    if log.count() > n:
+        aside = f"{path}.new"
+        telemetry.retain_last(log, n, order).coalesce(1).write.mode("overwrite").parquet(aside)
+        swap_folder(spark, aside, path)
+        spark.catalog.refreshByPath(path)
 
 
 def log_requests(requests: DataFrame, root: str, keep: int = telemetry.KEEP_REQUESTS) -> None:
     """Append served requests (a table, as read from JSON Lines) to the log that the latency statistics read."""
-    path = f"{root}/request_log"
-    requests.select(*schemas.REQUEST_LOG.names).write.mode("append").parquet(path)
-    keep_latest(requests.sparkSession, path, keep, [F.desc("timestamp")])
+    path, names = f"{root}/request_log", schemas.REQUEST_LOG.names
+    recover_folder(requests.sparkSession, path)
+    requests.select(*names).write.mode("append").parquet(path)
+    # a hash of the row parts requests of the same time
+    keep_latest(requests.sparkSession, path, keep, [F.desc("timestamp"), F.xxhash64(*names)])
 
 
 def save_monitoring_report(spark: SparkSession, root: str, keep: int = 20) -> None:
@@ -145,14 +151,14 @@ def _write_graph(ids: DataFrame, root: str) -> None:
         ("messages", graph.message_nodes(ids)),
         ("sent", graph.sent_edges(ids)),
         ("about", graph.about_edges(ids)),
-        ("similar_to", graph.similar_users_all(ids)),
+        ("similar_to", similar_users_all(ids)),
     ):
         table.write.mode("overwrite").parquet(f"{root}/graph/{name}")
 
 
-def frequency_table(spark: SparkSession, root: str) -> tables.VersionedTable:
-    return tables.VersionedTable(
-        spark, f"{root}/campaign_engagement_frequency", schemas.CAMPAIGN_ENGAGEMENT_FREQUENCY
+def frequency_table(spark: SparkSession, root: str) -> tables.KeyedTable:
+    return tables.KeyedTable(
+        spark, f"{root}/campaign_engagement_frequency", schemas.CAMPAIGN_ENGAGEMENT_FREQUENCY, ["campaign_id"]
     )
 
 
@@ -163,7 +169,7 @@ def update_campaign_frequency(spark: SparkSession, df: DataFrame, root: str, rep
     if replace:
         table.replace(batch)
     else:
-        table.upsert(batch, ["campaign_id"])
+        table.upsert(batch)
 
 
 def recommend_job(spark: SparkSession, df: DataFrame, root: str, dim: int = EMBEDDING_DIM, **options) -> None:

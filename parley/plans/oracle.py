@@ -206,9 +206,9 @@ FROM pairs a JOIN pairs b ON a.campaign = b.campaign AND a.userid < b.userid GRO
     "similar_users_all": f"""WITH {INTER}, {PAIRS} SELECT a.userid AS user_id, b.userid AS neighbour, count(*) AS weight,
   CAST(row_number() OVER (PARTITION BY a.userid ORDER BY count(*) DESC, b.userid) AS BIGINT) AS rank
 FROM pairs a JOIN pairs b ON a.campaign = b.campaign AND a.userid <> b.userid GROUP BY a.userid, b.userid QUALIFY rank <= 5""",
-    "campaigns_for_user_table": f"""WITH {INTER}, {PAIRS} SELECT campaign AS campaign_id, count(*) AS user_count,
-  string_agg(userid, ',' ORDER BY userid) AS user_list FROM pairs
-WHERE userid IN (SELECT 'u' || c_custkey FROM customer WHERE c_acctbal > 5000) GROUP BY 1""",
+    "campaigns_for_user_table": f"""WITH {INTER}, {PAIRS} SELECT campaign AS campaign_id, userid,
+  count(*) OVER (PARTITION BY campaign) AS user_count FROM pairs
+WHERE userid IN (SELECT 'u' || c_custkey FROM customer WHERE c_acctbal > 5000)""",
     "similar_users_graph": f"""WITH {INTER}, {PAIRS} SELECT b.userid AS user_id, count(*) AS similarity
 FROM pairs a JOIN pairs b ON a.campaign = b.campaign AND a.userid <> b.userid WHERE a.userid = 'u1'
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
@@ -277,16 +277,16 @@ WHERE v <> 0""",
   FROM embeddings a, embeddings b)
 SELECT qid, id, round(d, 6) AS distance, CAST(row_number() OVER (PARTITION BY qid ORDER BY d, id) AS BIGINT) AS rank
 FROM g QUALIFY rank <= 5""",
-    "knn_filtered": f"""WITH g AS (SELECT a.vec_id AS qid, b.vec_id AS id, {SQL_DISTANCE.format(a='a.embedding', b='b.embedding')} AS d
-  FROM embeddings a, embeddings b WHERE b.label = 3)
-SELECT qid, id, round(d, 6) AS distance, CAST(row_number() OVER (PARTITION BY qid ORDER BY d, id) AS BIGINT) AS rank
+    "knn_filtered": f"""WITH g AS (SELECT a.vec_id AS qid, b.vec_id AS id, b.label, {SQL_DISTANCE.format(a='a.embedding', b='b.embedding')} AS d
+  FROM embeddings a, embeddings b WHERE b.label IN (3, 7))
+SELECT qid, id, round(d, 6) AS distance, CAST(row_number() OVER (PARTITION BY qid, label ORDER BY d, id) AS BIGINT) AS rank, label
 FROM g QUALIFY rank <= 5""",
     "similar_users_vector": f"""WITH {EMB}, {SIMILAR} SELECT q AS user_id, u AS similar_user_id, round(s, 6) AS distance,
   round(similarity, 6) AS similarity, hits, CAST(rank AS BIGINT) AS rank FROM sim""",
     "recommendations": f"WITH {EMB}, {SCORED} SELECT {REC_COLUMNS}, {EXPLAIN} FROM recs",
-    "recommendations_filtered": f"WITH {EMB}, {SCORED} SELECT {REC_COLUMNS} FROM recs WHERE 1.2 * score >= 0.7",
+    "recommendations_filtered": f"WITH {EMB}, {SCORED} SELECT {REC_COLUMNS} FROM recs WHERE least(1.2 * score, 1.0) >= 0.9",
     "recommendations_fallback": f"""WITH {EMB}, {SCORED},
-  alone AS (SELECT DISTINCT userid FROM inter WHERE userid NOT IN (SELECT q FROM sim)),
+  alone AS (SELECT 'u' || c_custkey AS userid FROM customer WHERE 'u' || c_custkey NOT IN (SELECT q FROM sim)),
   top AS (SELECT campaign, n, row_number() OVER (ORDER BY n DESC, campaign) AS rank FROM freq QUALIFY rank <= 5)
 SELECT {REC_COLUMNS} FROM recs UNION ALL
 SELECT userid, campaign, round(0.5 * n / (SELECT max(n) FROM top), 6), round(0.6 * n / (SELECT max(n) FROM top), 6),
@@ -298,7 +298,9 @@ SELECT userid, campaign, round(0.5 * n / (SELECT max(n) FROM top), 6), round(0.6
 # the same answers by another way: every cell probed, and what a search of few cells still finds
 SQL["knn_ivf_all_cells"] = SQL["knn_exact"]
 SQL["recommendations_ivf_all_cells"] = SQL["recommendations"]
-SQL["knn_ivf_recall"] = "SELECT 5 * count(*) AS expected, true AS enough FROM embeddings"
+SQL["knn_growing"] = SQL["stream_index"] = SQL["knn_exact"]
+SQL["knn_ivf_recall"] = """SELECT 5 AS k, 5 * count(*) AS expected, true AS enough FROM embeddings
+UNION ALL SELECT 50, 50 * count(*), true FROM embeddings"""
 
 # times lose their fraction where events go through text
 TEXT = WHOLE + """, text_msg AS (
@@ -328,3 +330,32 @@ SQL["stream_embeddings"] = f"""WITH {TEXT}, {DOCUMENT_CELLS}, {DOCUMENT_VECTORS}
 SELECT DISTINCT t.message_id, array_to_string(list_transform(v.embedding, lambda x:
   CAST(round(x::DOUBLE * 100000) AS BIGINT)), ',') AS embedding
 FROM text_msg t JOIN vec v ON v.doc_id = t.event_id % (SELECT count(*) FROM documents)"""
+
+SQL["latency_sketched"] = """SELECT event_type AS endpoint, count(*) AS count, round(avg(value / 1000 * 1000), 6) AS avg_latency_ms,
+  true AS p50_latency_ms_near, true AS p95_latency_ms_near, true AS p99_latency_ms_near FROM events GROUP BY 1"""
+SQL["stream_distinct_users"] = f"""WITH {INTER}, d AS (SELECT *, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS day FROM inter)
+SELECT 'both' AS by, day AS activity_date, campaign AS campaign_id, count(*) AS message_count, count(DISTINCT userid) AS unique_users
+FROM d GROUP BY day, campaign
+UNION ALL SELECT 'day', day, NULL, count(*), count(DISTINCT userid) FROM d GROUP BY day
+UNION ALL SELECT 'campaign', NULL, campaign, count(*), count(DISTINCT userid) FROM d GROUP BY campaign"""
+
+METRIC_TALLIES = """SELECT 'user_engagement' AS "table", userid AS key, count(*) AS n FROM {t} GROUP BY userid
+UNION ALL SELECT 'campaign_performance', campaign, count(*) FROM {t} GROUP BY campaign
+UNION ALL SELECT 'user_activity_daily', CAST(timestamp AS DATE) || ' ' || userid, count(*) FROM {t} GROUP BY 2"""
+REPORT_TALLY = "UNION ALL SELECT 'report', 'total_messages', count(*) FROM {t}"
+
+SQL["created_tables"] = f"""WITH {INTER} {METRIC_TALLIES.format(t='inter')}
+UNION ALL SELECT 'campaign_engagement_frequency', campaign, count(DISTINCT userid) FROM inter GROUP BY campaign"""
+SQL["metrics_job_tables"] = f"WITH {INTER} {METRIC_TALLIES.format(t='inter')} {REPORT_TALLY.format(t='inter')}"
+# the pipeline keeps each event once, with its message cut
+SQL["whole_run_tables"] = f"""WITH {WHOLE}, kept AS (SELECT DISTINCT userid, campaign, date_trunc('second', timestamp) AS timestamp,
+    substr(message, 1, 1000) AS message, message AS whole_message FROM whole WHERE message IS NOT NULL),
+  sent AS (SELECT DISTINCT userid, campaign, timestamp, message FROM kept)
+{METRIC_TALLIES.format(t='kept')} {REPORT_TALLY.format(t='kept')}
+UNION ALL SELECT 'documents', userid, count(*) FROM sent GROUP BY userid
+UNION ALL SELECT 'vectors', userid, count(*) FROM kept GROUP BY userid
+UNION ALL SELECT 'graph/sent', userid, count(*) FROM sent GROUP BY userid
+UNION ALL SELECT 'graph/about', campaign, count(*) FROM sent WHERE campaign IS NOT NULL GROUP BY campaign
+UNION ALL SELECT 'step_metrics', s, 1 FROM (SELECT unnest(['ingestion', 'document_storage', 'embedding_generation', 'vector_storage',
+  'graph_build', 'analytics_aggregation']) AS s)
+UNION ALL SELECT 'frequency', campaign, count(DISTINCT userid) FROM kept GROUP BY campaign"""

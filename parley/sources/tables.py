@@ -1,4 +1,4 @@
-"""Stored tables: versioned keyed tables, day-partitioned documents, appends, CSV and JSON outputs."""
+"""Stored tables: keyed tables, day-partitioned documents, appends, CSV and JSON outputs."""
 
 from __future__ import annotations
 
@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.columns import epoch_millis, message_id, stringify_nested
-from parley.operators.upsert import upsert, upsert_counts
+from parley.operators.upsert import last_per_key, upsert, upsert_counts
 from parley.schemas import DOCUMENT, TABLES, VECTOR_TABLE, conform
 from parley.session import delete_path, materialize
 
+# Partitions of a keyed table.
+KEY_PARTS = 64
+
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     jvm = spark._jvm
@@ -21,46 +24,43 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
-class VersionedTable:
-    """A Parquet table whose every write is a new version; a version counts once its write has committed.
+class KeyedTable:
+    """A Parquet table partitioned by a hash of its key. An upsert reads and rewrites the partitions that its keys fall into, no others.
 
-    Readers keep the version they planned with, and a failed write leaves the table as it was. The last
-    ``keep`` versions stay, for readers that are still at work.
+    Merged partitions are first written to the shared scratch folder, so a failure there leaves the table as it was.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep: int = 3):
-        self.spark, self.path, self.schema, self.keep = spark, path.rstrip("/"), schema, keep
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], parts: int = KEY_PARTS):
+        self.spark, self.path, self.keys, self.parts = spark, path.rstrip("/"), keys, parts
+        self.schema = schema
+        self.stored = T.StructType([*schema.fields, T.StructField("part", T.IntegerType())])
 
-    def _versions(self) -> list[int]:
-        return sorted(
-            int(d.removeprefix("version="))
-            for d in list_dirs(self.spark, self.path)
-            if d.startswith("version=") and _exists(self.spark, f"{self.path}/{d}/_SUCCESS")
-        )
+    def _placed(self, df: DataFrame) -> DataFrame:
+        return conform(df, self.schema).withColumn("part", F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int"))
 
-    def _version(self) -> int | None:
-        return max(self._versions(), default=None)
+    def _rows(self) -> DataFrame:
+        if not list_dirs(self.spark, self.path):
+            return self.spark.createDataFrame([], self.stored)
+        return self.spark.read.schema(self.stored).parquet(self.path)
 
     def read(self) -> DataFrame:
-        version = self._version()
-        if version is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={version}")
+        return self._rows().select(*self.schema.names)
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        rows.hint("rebalance", F.col("part")).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("part").parquet(self.path)
 
     def replace(self, df: DataFrame) -> None:
-        version = self._version()
-        target = 1 if version is None else version + 1
-        conform(df, self.schema).write.mode("overwrite").parquet(f"{self.path}/version={target}")
-        for old in self._versions()[: -self.keep]:
-            delete_path(self.spark, f"{self.path}/version={old}")
+        """The whole table anew, with one row of each key."""
+        self._write(materialize(last_per_key(self._placed(df), self.keys), "replacing"), "static")
 
-    def upsert(self, batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> None:
-        self.replace(upsert(self.read(), conform(batch, self.schema), keys, order))
+    def upsert(self, batch: DataFrame, order: list[Column] | None = None) -> None:
+        rows = materialize(self._placed(batch), "keyed_batch")
+        # at most ``parts`` numbers
+        touched = [r["part"] for r in rows.select("part").distinct().collect()]
+        if not touched:
+            return
+        stored = self._rows().filter(F.col("part").isin(touched)).select(*rows.columns)
+        self._write(materialize(upsert(stored, rows, self.keys, order), "merged"), "dynamic")
 
 
 def documents(df: DataFrame) -> DataFrame:
@@ -189,6 +189,12 @@ def create_tables(spark: SparkSession, database: str | None = None) -> list[str]
     return names
 
 
+def fill_table(df: DataFrame, name: str) -> None:
+    """Replace the rows of a created table, by its declared columns."""
+    schema = df.sparkSession.table(name).schema
+    materialize(conform(df, schema), "filling").write.mode("overwrite").insertInto(name)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     stringify_nested(df).write.mode("overwrite").option("header", True).csv(path)
 

@@ -1,9 +1,10 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from parley.operators import graph
+from parley.operators import graph, similar
 from parley.operators.pairs import member_pairs
 
 
@@ -14,14 +15,14 @@ def test_sample_graph(sample):
     assert graph.graph_edges(sample).count() == 16
     edges = graph.user_similarity(sample)
     assert [tuple(r) for r in graph.similar_users_from_edges(edges, "u2").collect()] == [("u1", 1)]
-    best = graph.similar_users_all(sample).orderBy("user_id").collect()
+    best = similar.similar_users_all(sample).orderBy("user_id").collect()
     assert [tuple(r) for r in best] == [("u1", "u2", 1, 1), ("u2", "u1", 1, 1)]
 
 
 def _pairs_by_hand(rows):
     campaigns = {}
     for u, c in rows:
-        if c is not None:
+        if u is not None and c is not None:
             campaigns.setdefault(u, set()).add(c)
     out = set()
     for a, b in itertools.combinations(sorted(campaigns), 2):
@@ -42,14 +43,38 @@ def test_similarity_with_a_hot_campaign_and_equal_sets(spark):
         edges = [tuple(r) for r in graph.user_similarity(df, block).collect()]
         assert len(edges) == len(set(edges))
         assert set(edges) == _pairs_by_hand(rows)
-        best = {}
-        for r in graph.similar_users_all(df, 3, block).collect():
-            best.setdefault(r["user_id"], []).append((-r["weight"], r["neighbour"]))
-        want = {}
-        for a, b, w in _pairs_by_hand(rows):
-            want.setdefault(a, []).append((-w, b))
-            want.setdefault(b, []).append((-w, a))
-        assert {u: sorted(x) for u, x in best.items()} == {u: sorted(x)[:3] for u, x in want.items()}
+
+
+def check_neighbours(spark, rows, k, **limits):
+    df = spark.createDataFrame(rows, "userid string, campaign string")
+    best, want = {}, {}
+    for r in similar.similar_users_all(df, k, **limits).collect():
+        best.setdefault(r["user_id"], []).append((r["rank"], -r["weight"], r["neighbour"]))
+    for a, b, w in _pairs_by_hand(rows):
+        want.setdefault(a, []).append((-w, b))
+        want.setdefault(b, []).append((-w, a))
+    assert {u: sorted(x) for u, x in best.items()} == {u: [(i + 1, *p) for i, p in enumerate(sorted(x)[:k])] for u, x in want.items()}
+
+
+@pytest.mark.parametrize("k, limits", [(3, {"asking": 7, "compared": 9}), (1, {}), (6, {"asking": 20, "compared": 1000})])
+def test_similar_users(spark, k, limits):
+    """A campaign of all users, users with equal sets, ties everywhere, campaigns of one user, and users without any."""
+    rng = random.Random(k)
+    rows = [(f"u{i:03d}", "hot") for i in range(70)]
+    rows += [(f"u{rng.randrange(110):03d}", f"c{int(rng.random() ** 2 * 25)}") for _ in range(230)]
+    rows += [(f"u{i:03d}", f"own{i}") for i in range(40, 120)] + [("u000", "hot")] * 5 + [("lonely", None), (None, "hot")]
+    rows += [(f"v{i}", c) for i in range(12) for c in ("c1", "c2", "c3")]
+    check_neighbours(spark, rows, k, **limits)
+
+
+def test_one_campaign_of_all_users_is_no_list_to_search(spark):
+    """Its users are neighbours by the smallest ids; no set asks for its list."""
+    rows = [(f"u{i:04d}", "hot") for i in range(400)] + [(f"u{i:04d}", f"c{i // 2}") for i in range(300)]
+    check_neighbours(spark, rows, 3)
+    sets, _ = similar._campaign_sets(spark.createDataFrame(rows, "userid string, campaign string"), 3)
+    floors, _ = similar._floors(sets, similar._listed_users(sets, 3), 3)
+    reach = sets.join(floors, "set").select("size", (F.col("size") - F.greatest("floor", F.lit(2)) + 1).alias("reach"))
+    assert reach.filter("reach >= size").count() == 0
 
 
 def test_member_pairs_blocks_cover_each_pair_once(spark):

@@ -43,18 +43,28 @@ def test_documents_by_day(spark, sample, tmp_path):
     assert tables.latest_documents(stored, campaign="c1").count() >= 3
 
 
-def test_versioned_table(spark, tmp_path):
-    table = tables.VersionedTable(spark, str(tmp_path / "freq"), schemas.CAMPAIGN_ENGAGEMENT_FREQUENCY)
+def test_keyed_table(spark, tmp_path):
+    """An upsert leaves the files of partitions alone that none of its keys fall into."""
+    path = tmp_path / "freq"
+    table = tables.KeyedTable(spark, str(path), schemas.CAMPAIGN_ENGAGEMENT_FREQUENCY, ["campaign_id"], parts=8)
     assert table.read().count() == 0
     row = "campaign_id string, engagement_count long, unique_users long"
-    table.upsert(spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], row), ["campaign_id"])
-    before = table.read()
-    table.upsert(spark.createDataFrame([("b", 5, 2)], row), ["campaign_id"])
-    assert {(r[0], r[1]) for r in table.read().collect()} == {("a", 1), ("b", 5)}
-    assert before.count() == 2
-    for n in range(3):
-        table.upsert(spark.createDataFrame([("b", n, 2)], row), ["campaign_id"])
-    assert table._versions() == [3, 4, 5]
+
+    def files():
+        return {str(p.relative_to(path)) for p in path.rglob("*.parquet")}
+
+    table.upsert(spark.createDataFrame([(f"c{i}", i, 1) for i in range(40)] + [(None, 7, 1), ("c3", 100, 1)], row), [F.col("engagement_count")])
+    assert table.read().count() == 41 and {r[0]: r[1] for r in table.read().collect()}["c3"] == 100
+    before = files()
+    table.upsert(spark.createDataFrame([("c5", 500, 2), (None, 9, 2)], row))
+    after, got = files(), {r[0]: r[1] for r in table.read().collect()}
+    assert got["c5"] == 500 and got[None] == 9 and got["c3"] == 100 and len(got) == 41
+    parts = {f.split("/")[0] for f in before ^ after}
+    assert 1 <= len(parts) <= 2 and {f for f in before if f.split("/")[0] not in parts} <= after
+    table.upsert(spark.createDataFrame([], row))
+    assert files() == after
+    table.replace(spark.createDataFrame([("only", 1, 1)], row))
+    assert [r[0] for r in table.read().collect()] == ["only"]
 
 
 def test_conform(spark):
@@ -137,6 +147,30 @@ def test_ranked_values_are_exact_for_any_sketch(spark):
             assert {n: got[g][n] for n in shares} == {n: mine[int(len(mine) * p)] for n, p in shares.items()}
 
 
+def test_large_pieces_are_counted_again(spark):
+    """One group of 10^6 different values, and pieces of a thousand at most that one task ranks."""
+    df = spark.range(1_000_000).selectExpr("'hot' AS g", "double((id * 7919) % 1000000) AS v").unionByName(
+        spark.range(300).selectExpr("'equal' AS g", "1.5D AS v")
+    )
+    shares = {"least": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "top": 0.9999999}
+    got = {r["g"]: r for r in quantiles.ranked_values(df, "g", "v", shares, piece_values=1000).collect()}
+    assert {n: got["hot"][n] for n in shares} == {"least": 0.0, "p50": 500000.0, "p95": 950000.0, "p99": 990000.0, "top": 999999.0}
+    assert {got["equal"][n] for n in shares} == {1.5} and got["hot"]["total"] == 1_000_000
+
+
+def test_latency_sketches(spark):
+    df = spark.range(20_000).selectExpr("concat('/', id % 2) AS endpoint", "(id % 1000) / 1000 AS duration_seconds", "timestamp_seconds(id % 7200) AS timestamp")
+    halves = [telemetry.minute_sketches(df.filter(F.col("duration_seconds") < 0.5)), telemetry.minute_sketches(df.filter(F.col("duration_seconds") >= 0.5))]
+    merged = telemetry.merged_sketches(halves[0].unionByName(halves[1]))
+    assert merged.count() == 2 * 120
+    got = telemetry.sketched_latency(merged, F.timestamp_seconds(F.lit(7200)), 60).collect()
+    assert {r["endpoint"] for r in got} == {"/0", "/1"}
+    exact = {r["endpoint"]: r for r in telemetry.latency_stats(df, F.timestamp_seconds(F.lit(7200)), 59).collect()}
+    for r in got:
+        assert r["count"] == exact[r["endpoint"]]["count"]
+        assert abs(r["p50_latency_ms"] - exact[r["endpoint"]]["p50_latency_ms"]) < 30
+
+
 def test_latency_window(spark):
     rows = [("/a", 0.1, 0), ("/a", 0.2, 5000), ("/b", 0.3, 5100)]
     df = spark.createDataFrame(rows, "endpoint string, duration_seconds double, s int").withColumn(
@@ -217,9 +251,7 @@ def test_streams_equal_batch(spark, sample, tmp_path):
     stream.maintain_documents(events, docs, str(tmp_path / "cp1")).awaitTermination()
     assert spark.read.parquet(docs).count() == 8
     vectors = str(tmp_path / "vectors")
-    query = stream.maintain_embeddings(events, vectors, str(tmp_path / "cp2"), dim=16)
-    query.awaitTermination()
-    assert stream.late_rows(query) == 0
+    stream.maintain_embeddings(events, vectors, str(tmp_path / "cp2"), dim=16).awaitTermination()
     assert spark.read.parquet(vectors).count() == 8
     expected = {"c1": 3, "c2": 2, "c3": 1, "c4": 1, "c5": 1}
     running = str(tmp_path / "running")
@@ -281,6 +313,80 @@ def test_logs_are_kept_short(spark, tmp_path):
     assert sorted(r["user_id"] for r in kept.collect()) == ["u5", "u6", "u7", "u8"]
 
 
+def test_a_cut_off_swap_is_undone(spark, tmp_path):
+    from parley.session import recover_folder, swap_folder
+
+    path = str(tmp_path / "log")
+    spark.range(3).write.parquet(path + ".old")
+    recover_folder(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    spark.range(5).write.parquet(path + ".new")
+    swap_folder(spark, path + ".new", path)
+    assert spark.read.parquet(path).count() == 5 and not (tmp_path / "log.old").exists()
+
+
+def test_every_late_row_is_counted(spark, tmp_path):
+    """Also in batches whose progress Spark no longer keeps, and once for a batch that is stored twice."""
+    from datetime import datetime, timedelta
+
+    folder, table, kept = tmp_path / "in", str(tmp_path / "late"), spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    schema = "userid string, campaign string, timestamp timestamp"
+    start = datetime(2026, 1, 10)
+    for i in range(8):
+        # a row that moves the watermark on, and from the third batch on two that come too late
+        rows = [("u", "c", start + timedelta(days=3 * i))] + [("u", f"late{j}", start + timedelta(minutes=i)) for j in range(2) if i > 1]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+    listener = stream.LateRows(spark, table)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    spark.streams.addListener(listener)
+    try:
+        events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+        query = stream.maintain_daily_counts(events, str(tmp_path / "daily"), str(tmp_path / "cp"), delay="1 hour")
+        query.awaitTermination()
+        assert len(query.recentProgress) <= 2
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        import time
+
+        for _ in range(50):
+            if stream.late_rows(spark, table).first() and stream.late_rows(spark, table).first()["dropped"] == 12:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    rows = stream.late_rows(spark, table).collect()
+    assert [r["dropped"] for r in rows] == [12]
+    spark.read.parquet(table).write.mode("append").parquet(str(tmp_path / "copy"))
+    spark.read.parquet(table).write.mode("append").parquet(str(tmp_path / "copy"))
+    assert stream.late_rows(spark, str(tmp_path / "copy")).first()["dropped"] == 12
+
+
+def test_bitmaps_of_distinct_users(spark, tmp_path):
+    """Batches that share users, days and campaigns, one of them replayed, against plain sets."""
+    import random
+    from datetime import datetime, timedelta
+
+    from parley.operators import distinct
+
+    rng, root = random.Random(3), str(tmp_path / "distinct")
+    rows = [(f"u{rng.randrange(300)}" if rng.random() < 0.97 else None, rng.choice(["a", "b", None]), datetime(2026, 1, 1) + timedelta(hours=rng.randrange(72))) for _ in range(900)]
+    rows += [(f"v{i}", "a", datetime(2026, 1, 2)) for i in range(40_000)]
+    for i in (0, 1, 1, 2):
+        part = spark.createDataFrame(rows[i::3], "userid string, campaign string, timestamp timestamp")
+        distinct.store_batch(part, root, i)
+    users = distinct.known_users(spark, f"{root}/users")
+    assert users.count() == users.select("userid").distinct().count() == users.select("shard", "place").distinct().count()
+    bitmaps = distinct.stored_bitmaps(spark, root)
+    named = [r for r in rows if r[0]]
+    for by, key in ((["campaign"], lambda r: (r[1],)), (["activity_date"], lambda r: (r[2].date(),)), ([], lambda r: ())):
+        want = {}
+        for r in named:
+            want.setdefault(key(r), [set(), 0])[0].add(r[0])
+            want[key(r)][1] += 1
+        got = {tuple(r[c] for c in by): (r["unique_users"], r["message_count"]) for r in distinct.distinct_users(bitmaps, by).collect()}
+        assert got == {k: (len(s), n) for k, (s, n) in want.items()}
+
+
 def test_merged_days_leave_other_days_alone(spark, tmp_path):
     schema, path = "activity_date date, campaign_id string, message_count long, last_message timestamp", str(tmp_path / "daily")
     batches = [[("2026-01-01", "a", 1), ("2026-01-02", "a", 5), ("2026-01-01", None, 2)], [("2026-01-01", "a", 3), ("2026-01-03", "b", 1)], []]
