@@ -510,7 +510,7 @@ def knn_ivf_all_cells(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
     path = scratch_path(spark, "index")
     knn.build_index(vectors, DIM, nlist=CELLS, trainer="kmeans").save(path)
-    return _hits(knn.knn(_asking(vectors), knn.load_index(spark, path), 5, nprobe=CELLS))
+    return _hits(knn.knn(_asking(vectors), knn.load_index(spark, path), 5, nprobe=CELLS, refine=100))
 
 
 @query
@@ -581,9 +581,9 @@ def recommendations_two_stage(spark, sf_dir):
 
 @query
 def recommendations_ivf_all_cells(spark, sf_dir):
-    """The two-stage way with every cell probed: the same as the exact one."""
+    """The two-stage way with every cell probed and all candidates compared: the same as the exact one."""
     return _flat_recommendations(
-        recommend.recommendations(_messages(spark, sf_dir), DIM, search="ivf", nlist=CELLS, nprobe=CELLS)
+        recommend.recommendations(_messages(spark, sf_dir), DIM, search="ivf", nlist=CELLS, nprobe=CELLS, refine=10_000)
     )
 
 
