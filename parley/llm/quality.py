@@ -32,8 +32,8 @@ from parley.llm.common import PieceCache, group_sums, map_batches, take_ragged,
 from parley.session import materialize
 
 BUCKETS = 1 << 13
-DIM = 32
-NONZERO = 4
+DIM = 64
+NONZERO = 6
 WINDOW = 2
 EXTRA = 3
 CONTEXT_STEP = 50_000

@@ -108,9 +108,9 @@ class Quantiser:
         return own, codes, np.sqrt(off), np.nonzero(near)[1], near.sum(axis=1)
 
     def tables(self, queries: np.ndarray, cell: int) -> list[np.ndarray]:
-        """For each subspace the squared distances of the queries' residuals to its codebook."""
+        """For each subspace the squared distances of its codebook (rows) to the queries' residuals (columns)."""
         rest = queries - self.centroids[cell]
-        return [squared_distances(rest[:, p], book).astype(np.float32) for p, book in zip(self.parts, self.codebooks)]
+        return [squared_distances(book, rest[:, p]).astype(np.float32) for p, book in zip(self.parts, self.codebooks)]
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -157,11 +157,11 @@ def compare(queries: pa.Table, members: pa.Table, cell: int, quantiser: Quantise
         others = np.flatnonzero(allowed)
         for lo in range(0, len(mine) if len(others) else 0, TOGETHER):
             part = mine[lo : lo + TOGETHER]
-            tables = quantiser.tables(q[part], cell)
-            far = np.zeros((len(part), len(others)), np.float32)
-            for m, table in enumerate(tables):
-                far += table[:, codes[others, m]]
-            near = far <= reach[others]
+            # a code is a row of the table, so what is looked up for all queries lies side by side
+            far = np.zeros((len(others), len(part)), np.float32)
+            for m, table in enumerate(quantiser.tables(q[part], cell)):
+                far += table[codes[others, m]]
+            near = (far <= reach[others][:, None]).T
             if home == cell:
                 near &= q_rep[part][:, None] < d_rep[others]
             some = np.flatnonzero(near.any(axis=0))
@@ -185,7 +185,7 @@ def compare(queries: pa.Table, members: pa.Table, cell: int, quantiser: Quantise
 def _links(different: DataFrame, n: int, threshold: float, rows_per_list: int, list_rows: int, query_rows: int) -> DataFrame:
     """(rep, other, n), stored: with ``other``, a link; without, ``n`` rows that ``rep`` is linked with. All vectors have one length."""
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
-    lists = min(MOST_LISTS, max(1, 1 << round(math.log2(max(1.0, math.sqrt(n / rows_per_list) * 8)))))
+    lists = min(MOST_LISTS, 1 << int(math.log2(max(1.0, 8 * math.sqrt(n / rows_per_list)))))
     share = min(1.0, TRAIN_ROWS / n)
     sample = different.filter(F.pmod(F.xxhash64("rep", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("rep", "v").toArrow()
     quantiser = Quantiser.fitted(unit(_vectors(sample.sort_by("rep"))), lists)

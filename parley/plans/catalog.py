@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions.columns import stringify_nested
-from parley.operators import distinct, graph, knn, metrics, quality, recommend, similar, telemetry, upsert
+from parley.operators import distinct, graph, knn, metrics, quality, recommend, rolling, similar, telemetry, upsert
 from parley.operators.embed import embed
 from parley.plans import jobs, views
 from parley.plans.report import analytics_report
@@ -240,6 +241,18 @@ def user_similarity(spark, sf_dir):
     return graph.user_similarity(views.interactions(spark, sf_dir), block=40)
 
 
+@query
+def similarity_rolling(spark, sf_dir):
+    """SIMILAR_TO over a window of ten days that moves through all days of the events, and at last back by some."""
+    root = scratch_path(spark, "rolling")
+    events = views.interactions(spark, sf_dir)
+    rolling.store_days(events, root)
+    found = None
+    for first, last in (("2024-01-01", "2024-01-10"), ("2024-01-08", "2024-01-17"), ("2024-01-22", "2024-01-31"), ("2024-01-17", "2024-01-26")):
+        found = rolling.move_window(spark, root, date.fromisoformat(first), date.fromisoformat(last))
+    return found
+
+
 @query
 def similar_users_all(spark, sf_dir):
     """Few sets ask together, so that several groups of them occur."""

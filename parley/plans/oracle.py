@@ -359,3 +359,6 @@ UNION ALL SELECT 'graph/about', campaign, count(*) FROM sent WHERE campaign IS N
 UNION ALL SELECT 'step_metrics', s, 1 FROM (SELECT unnest(['ingestion', 'document_storage', 'embedding_generation', 'vector_storage',
   'graph_build', 'analytics_aggregation']) AS s)
 UNION ALL SELECT 'frequency', campaign, count(DISTINCT userid) FROM kept GROUP BY campaign"""
+SQL["similarity_rolling"] = f"""WITH {INTER}, near AS (SELECT DISTINCT userid, campaign FROM inter
+  WHERE campaign IS NOT NULL AND CAST(timestamp AS DATE) BETWEEN DATE '2024-01-17' AND DATE '2024-01-26')
+SELECT a.userid AS src, b.userid AS dst, count(*) AS weight FROM near a JOIN near b ON a.campaign = b.campaign AND a.userid < b.userid GROUP BY ALL"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -36,8 +39,8 @@ def build_session(app_name: str = "parley", master: str | None = None, **conf: s
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors are one machine, may fall back
-    to a temporary folder.
+    Only a local session, where driver and executors are one process, has a folder of its own
+    where the setting is missing; it goes with the process.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
@@ -45,9 +48,10 @@ def scratch_root(spark: SparkSession) -> str:
     known = spark.conf.get(_SCRATCH_CONF, None)
     if known:
         return known
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     fallback = tempfile.mkdtemp(prefix="parley-scratch-")
+    atexit.register(shutil.rmtree, fallback, ignore_errors=True)
     spark.conf.set(_SCRATCH_CONF, fallback)
     return fallback
 

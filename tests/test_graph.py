@@ -77,6 +77,24 @@ def test_one_campaign_of_all_users_is_no_list_to_search(spark):
     assert reach.filter("reach >= size").count() == 0
 
 
+def test_moving_window(spark, tmp_path):
+    """Each move against a plain count over its window; users enter, stay, leave and come back."""
+    from datetime import date, datetime
+
+    from parley.operators import rolling
+
+    rng, root = random.Random(4), str(tmp_path / "rolling")
+    rows = [(f"u{rng.randrange(25)}", rng.choice(["a", "b", "c", "hot", "hot", None]), datetime(2026, 1, 1 + rng.randrange(9), rng.randrange(24))) for _ in range(260)]
+    df = spark.createDataFrame(rows, "userid string, campaign string, timestamp timestamp")
+    for _ in range(2):
+        rolling.store_days(df, root)
+    for first, last in ((1, 3), (2, 5), (2, 5), (8, 9), (4, 6), (20, 21), (1, 9)):
+        got = rolling.move_window(spark, root, date(2026, 1, first), date(2026, 1, last))
+        want = _pairs_by_hand([(u, c) for u, c, t in rows if first <= t.day <= last])
+        assert {tuple(r) for r in got.collect()} == want
+    assert len([p for p in (tmp_path / "rolling").iterdir() if p.name.startswith("window-")]) == 1
+
+
 def test_member_pairs_blocks_cover_each_pair_once(spark):
     df = spark.createDataFrame([("g", i) for i in range(40)] + [("h", 1), ("h", 2)], "g string, m int")
     pairs = sorted(tuple(r) for r in member_pairs(df, "g", "m", block=6).collect())
