@@ -10,7 +10,7 @@ store will do) and reads them back with its binary reader. No file depends on an
 in the whole sequence comes from the files' sums.
 
 Nulls count as empty texts; every document has at least its end id. Repeated ids stay apart and are ordered by
-a hash of their text; a null id comes first. An empty table gives no files with content. Other columns are not read.
+a hash of their text; rows that are equal in both may lie in several files. A null id comes first. An empty table gives no files with content. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -246,7 +246,9 @@ def write_tokens(
     docs = texts_of(df, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"]
     files = max(1, math.ceil((size or 0) / file_text_bytes))
-    order = ["doc_id", F.xxhash64("text")]
+    # rows that are equal in all may be many: a number from the scan parts them
+    docs = docs.withColumn("nth", F.monotonically_increasing_id())
+    order = ["doc_id", F.xxhash64("text"), "nth"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         builder = FileBuilder(TaskContext.get().partitionId())
@@ -258,7 +260,7 @@ def write_tokens(
         if builder.doc_ids:
             yield _records(builder.finish())
 
-    ordered = docs.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    ordered = docs.repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "text")
     records = map_batches(ordered, run, "record binary", BATCH_BYTES)
     records.select(F.col("record").cast("string").alias("value")).write.mode("error").text(path)
 

@@ -58,3 +58,17 @@ def test_files(spark, docs, prose, no_docs):
     empty = scratch_path(spark, "no_tokens")
     token_output.write_tokens(no_docs, empty, PATH, 2)
     assert token_output.read_tokens(spark, empty).count() == 0
+
+
+def test_one_row_very_often(spark):
+    """Repeats of one row are dealt to several files, and each has its place."""
+    rows = spark.range(3000).selectExpr("cast(7 as long) AS doc_id", "'the same river and the same stone' AS text").unionByName(
+        spark.range(300).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    )
+    path = scratch_path(spark, "hot_tokens")
+    token_output.write_tokens(rows, path, PATH, 2, file_text_bytes=10_000)
+    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("length").collect()
+    assert len(files) >= 8 and max(r["length"] for r in files) < 4 * min(r["length"] for r in files) + 4000
+    got = sorted(token_output.read_tokens(spark, path).collect(), key=lambda r: r["start"])
+    assert len(got) == 3300 and [r["doc_id"] for r in got] == sorted(r["doc_id"] for r in got)
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
