@@ -12,9 +12,10 @@ In a list, distances to the coded vectors come from tables (the squared distance
 each entry of the codebooks). A coded vector is off by a length that is stored with it, so whoever is farther than r plus that
 length is no near copy. The others are compared by their cosine in double precision.
 
-A task compares a block of queries with a block of a list. It returns a count for each vector and links that connect what
-is linked, never all pairs. A list that many near copies share is cut into blocks by hash, each pair of blocks a task; that is
-exact, and quadratic in such a list. Coarse centroids (at most ``MOST_LISTS``) and codebooks are fitted on a sample of at most
+Lists that lie near one another share a bin, and a query travels once to each bin in which it has a list. A task compares a block of
+queries with a bin. It returns a count for each vector and links that connect what is linked, never all pairs. A list longer than
+a bin, as many near copies make it, is cut into parts by hash, each part and block of queries a task; that is exact, and
+quadratic in such a list. Coarse centroids (at most ``MOST_LISTS``) and codebooks are fitted on a sample of at most
 some ``TRAIN_ROWS`` different vectors; they decide speed, not results.
 
 Vectors that are null, empty or zero, or hold null, NaN or infinite components link with nothing. Vectors of different
@@ -29,11 +30,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.common import map_batches
 from parley.llm.components import components
+from parley.llm.vectors import mixed
 from parley.session import materialize
 
 THRESHOLD = 0.95
@@ -42,8 +45,8 @@ ROWS_PER_LIST = 400
 TRAIN_ROWS = 65_536
 PART_DIMS = 4
 CODES = 256
-LIST_ROWS = 2000
-QUERY_ROWS = 8000
+LIST_ROWS = 10_000
+QUERY_ROWS = 5000
 TOGETHER = 256
 BATCH_BYTES = 4 << 20
 # more than what rounding can do to a distance of unit vectors, in double and in single precision
@@ -137,51 +140,103 @@ def _vectors(rows: pa.Table) -> np.ndarray:
     return flat.reshape(rows.num_rows, -1)
 
 
-def compare(queries: pa.Table, members: pa.Table, cell: int, quantiser: Quantiser, threshold: float, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows linked with each query and each member, and a forest of links as places (query, member)."""
-    q, d = unit(_vectors(queries)), unit(_vectors(members))
-    own, q_rep, d_rep = (t.to_numpy() for t in (queries["own"], queries["rep"], members["rep"]))
-    q_n, d_n = queries["weight"].to_numpy(), members["weight"].to_numpy()
-    codes = np.frombuffer(b"".join(members["code"].to_pylist()), np.uint8).reshape(len(d), -1)
-    reach = ((radius + SLACK + members["off"].to_numpy()) ** 2 + TABLE_SLACK).astype(np.float32)
-    probes = members["probes"].combine_chunks()
-    probe_of = np.repeat(np.arange(len(d)), probes.value_lengths().to_numpy(zero_copy_only=False))
-    probe_to = probes.flatten().to_numpy(zero_copy_only=False)
-    count_q, count_d, left, right = np.zeros(len(q), np.int64), np.zeros(len(d), np.int64), [], []
+class Members:
+    """The vectors of one list that are in a task."""
+
+    def __init__(self, rows: pa.Table, vectors: np.ndarray, at: np.ndarray):
+        self.vectors, self.at = vectors[at], at
+        self.rep, self.weight, self.off = (rows[c].to_numpy()[at] for c in ("rep", "weight", "off"))
+        rows = rows.take(pa.array(at))
+        self.codes = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(len(at), -1)
+        probes = rows["probes"].combine_chunks()
+        self.probe_of = np.repeat(np.arange(len(at)), probes.value_lengths().to_numpy(zero_copy_only=False))
+        self.probe_to = probes.flatten().to_numpy(zero_copy_only=False)
+
+    def looking_into(self, cell: int) -> np.ndarray:
+        out = np.zeros(len(self.at), bool)
+        out[self.probe_of[self.probe_to == cell]] = True
+        return out
+
+
+def _cell_links(queries: np.ndarray, reps: np.ndarray, own: np.ndarray, members: Members, cell: int, quantiser: Quantiser, threshold: float, radius: float):
+    """(places of queries, places of members) among those given, block by block, with the matrix of which are linked."""
+    reach = ((radius + SLACK + members.off) ** 2 + TABLE_SLACK).astype(np.float32)
     for home in np.unique(own):
         mine = np.flatnonzero(own == home)
-        allowed = np.ones(len(d), bool)
-        if home > cell:
-            # members that look into the query's own list find the pair there
-            allowed[probe_of[probe_to == home]] = False
-        others = np.flatnonzero(allowed)
+        # members that look into the query's own list find the pair there
+        others = np.flatnonzero(~members.looking_into(home)) if home > cell else np.arange(len(members.at))
         for lo in range(0, len(mine) if len(others) else 0, TOGETHER):
             part = mine[lo : lo + TOGETHER]
             # a code is a row of the table, so what is looked up for all queries lies side by side
             far = np.zeros((len(others), len(part)), np.float32)
-            for m, table in enumerate(quantiser.tables(q[part], cell)):
-                far += table[codes[others, m]]
+            for m, table in enumerate(quantiser.tables(queries[part], cell)):
+                far += table[members.codes[others, m]]
             near = (far <= reach[others][:, None]).T
             if home == cell:
-                near &= q_rep[part][:, None] < d_rep[others]
-            some = np.flatnonzero(near.any(axis=0))
-            if not len(some):
-                continue
-            # cosines of all queries that have a candidate with all members that are one
-            rows = np.flatnonzero(near.any(axis=1))
-            linked = (q[part[rows]] @ d[others[some]].T >= threshold) & near[np.ix_(rows, some)]
-            x, y = part[rows], others[some]
-            count_q[x] += linked @ d_n[y]
-            count_d[y] += q_n[x] @ linked
-            at = np.nonzero(linked)
-            kept = forest(at[0], at[1] + len(x), len(x) + len(y))
-            left.append(x[at[0][kept]])
-            right.append(y[at[1][kept]])
+                near &= reps[part][:, None] < members.rep[others]
+            some, rows = np.flatnonzero(near.any(axis=0)), np.flatnonzero(near.any(axis=1))
+            if len(some):
+                # cosines of all queries that have a candidate with all members that are one
+                linked = (queries[part[rows]] @ members.vectors[others[some]].T >= threshold) & near[np.ix_(rows, some)]
+                yield part[rows], others[some], linked
+
+
+def compare(queries: pa.Table, members: pa.Table, quantiser: Quantiser, threshold: float, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows linked with each query and each member, and a forest of links as places (query, member)."""
+    q, d = unit(_vectors(queries)), unit(_vectors(members))
+    q_rep, q_n, q_own, d_own = queries["rep"].to_numpy(), queries["weight"].to_numpy(), queries["own"].to_numpy(), members["own"].to_numpy()
+    cells = queries["cells"].combine_chunks()
+    asker = np.repeat(np.arange(len(q)), cells.value_lengths().to_numpy(zero_copy_only=False))
+    asked = cells.flatten().to_numpy(zero_copy_only=False)
+    count_q, count_d, left, right = np.zeros(len(q), np.int64), np.zeros(len(d), np.int64), [], []
+    for cell in np.unique(d_own):
+        at, there = asker[asked == cell], Members(members, d, np.flatnonzero(d_own == cell))
+        for x, y, linked in _cell_links(q[at], q_rep[at], q_own[at], there, int(cell), quantiser, threshold, radius):
+            x, own_y = at[x], there.at[y]
+            count_q[x] += linked @ there.weight[y]
+            count_d[own_y] += q_n[x] @ linked
+            pairs = np.nonzero(linked)
+            kept = forest(pairs[0], pairs[1] + len(x), len(x) + len(y))
+            left.append(x[pairs[0][kept]])
+            right.append(own_y[pairs[1][kept]])
     left, right = (np.concatenate([np.zeros(0, np.int64), *s]) for s in (left, right))
     kept = forest(left, right + len(q), len(q) + len(d))
     return count_q, count_d, np.column_stack([left[kept], right[kept]])
 
 
+def chained(centroids: np.ndarray) -> np.ndarray:
+    """The lists in an order in which neighbours are near: from each to the nearest one that is left."""
+    far = squared_distances(centroids, centroids)
+    left, order = np.ones(len(centroids), bool), [0]
+    left[0] = False
+    while left.any():
+        order.append(int(np.where(left, far[order[-1]], np.inf).argmin()))
+        left[order[-1]] = False
+    return np.array(order)
+
+
+def packed(order: np.ndarray, members: np.ndarray, asked: np.ndarray, n: int, list_rows: int, query_rows: int) -> list[tuple[int, int, int, int]]:
+    """(list, bin, parts, blocks): neighbouring lists share a bin of at most ``list_rows`` members; a longer list has a bin of its own, in
+    parts. The queries that a bin may get are dealt to blocks of some ``query_rows``."""
+    bins: list[list[int]] = []
+    total = int(members.sum())
+    # bins of about one size
+    room = min(list_rows, math.ceil(1.1 * total / max(1, math.ceil(total / list_rows))))
+    size = room + 1
+    for cell in order[members[order] > 0]:
+        if size + members[cell] > room:
+            bins.append([])
+            size = 0
+        bins[-1].append(int(cell))
+        size += int(members[cell])
+    out = []
+    for i, cells in enumerate(bins):
+        parts = max(1, math.ceil(int(members[cells].sum()) / list_rows))
+        blocks = max(1, math.ceil(min(n, int(asked[cells].sum())) / query_rows))
+        out += [(cell, i, parts, blocks) for cell in cells]
+    return out
+
+
 def _links(different: DataFrame, n: int, threshold: float, rows_per_list: int, list_rows: int, query_rows: int) -> DataFrame:
     """(rep, other, n), stored: with ``other``, a link; without, ``n`` rows that ``rep`` is linked with. All vectors have one length."""
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
@@ -189,7 +244,8 @@ def _links(different: DataFrame, n: int, threshold: float, rows_per_list: int, l
     share = min(1.0, TRAIN_ROWS / n)
     sample = different.filter(F.pmod(F.xxhash64("rep", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("rep", "v").toArrow()
     quantiser = Quantiser.fitted(unit(_vectors(sample.sort_by("rep"))), lists)
-    known = different.sparkSession.sparkContext.broadcast((quantiser.centroids, quantiser.parts, quantiser.codebooks))
+    spark = different.sparkSession
+    known = spark.sparkContext.broadcast((quantiser.centroids, quantiser.parts, quantiser.codebooks))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quantiser = Quantiser(*known.value)
@@ -205,29 +261,54 @@ def _links(different: DataFrame, n: int, threshold: float, rows_per_list: int, l
     v_type = different.schema["v"].dataType.simpleString()
     schema = f"rep long, weight long, v {v_type}, own int, code binary, off double, probes array<int>"
     indexed = materialize(map_batches(different.select("rep", "weight", "v"), assign, schema, BATCH_BYTES), "indexed")
-    asks = F.explode(F.concat(F.array("own"), "probes"))
-    sizes = indexed.groupBy(F.col("own").alias("cell")).agg(F.count("*").alias("members")).join(
-        indexed.select(asks.alias("cell")).groupBy("cell").agg(F.count("*").alias("queries")), "cell"
-    )
-    blocks = sizes.select("cell", *[F.ceil(F.col(c) / most).cast("int").alias(c) for c, most in (("members", list_rows), ("queries", query_rows))])
+    sizes = np.zeros((2, len(quantiser.centroids)), np.int64)
+    asks = indexed.select(F.explode(F.concat(F.array("own"), "probes")).alias("cell"))
     # a row for each list, ``MOST_LISTS`` at most
-    blocks = F.broadcast(materialize(blocks, "blocks"))
-    block = F.pmod(F.xxhash64("rep"), F.col("queries")).cast("int")
-    queries = indexed.select("rep", "weight", "v", "own", asks.alias("cell")).join(blocks, "cell").select(
-        "cell", block.alias("a"), F.explode(F.sequence(F.lit(0), F.col("members") - 1)).alias("b"), F.lit(True).alias("asks"), "rep", "weight", "v", "own",
+    for place, cells in enumerate((indexed.select(F.col("own").alias("cell")), asks)):
+        for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect():
+            sizes[place, r["cell"]] = r["n"]
+    bins = packed(chained(quantiser.centroids), sizes[0], sizes[1], n, list_rows, query_rows)
+    bin_of, part_of, block_of = (np.full(len(quantiser.centroids), -1) for _ in range(3))
+    for cell, *rest in bins:
+        bin_of[cell], part_of[cell], block_of[cell] = rest
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A query once for each bin that it looks into, with its lists there."""
+        for batch in batches:
+            probes = batch.column("probes")
+            row = np.repeat(np.arange(batch.num_rows), probes.value_lengths().to_numpy(zero_copy_only=False))
+            row = np.concatenate([np.arange(batch.num_rows), row])
+            cell = np.concatenate([batch.column("own").to_numpy(), probes.flatten().to_numpy(zero_copy_only=False)])
+            filled = bin_of[cell] >= 0
+            row, cell = row[filled], cell[filled]
+            order = np.lexsort((bin_of[cell], row))
+            row, cell = row[order], cell[order]
+            first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(bin_of[cell], prepend=-1) != 0))
+            lists = pa.ListArray.from_arrays(np.append(first, len(row)).astype(np.int32), pa.array(cell.astype(np.int32)))
+            row, cell = row[first], cell[first]
+            block = mixed(batch.column("rep").to_numpy()[row].view(np.uint64), 0) % block_of[cell].astype(np.uint64)
+            found = [pa.array(x.astype(np.int32)) for x in (bin_of[cell], block, part_of[cell])]
+            taken = [batch.column(c).take(pa.array(row)) for c in ("rep", "weight", "v", "own")]
+            yield pa.RecordBatch.from_arrays([*found, *taken, lists], ["bin", "a", "parts", "rep", "weight", "v", "own", "cells"])
+
+    schema = f"bin int, a int, parts int, rep long, weight long, v {v_type}, own int, cells array<int>"
+    asking = map_batches(indexed.select("rep", "weight", "v", "own", "probes"), deal, schema, BATCH_BYTES)
+    queries = asking.select(
+        "bin", "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("b"), "rep", "weight", "v", "own", "cells",
         F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("off"), F.lit(None).cast("array<int>").alias("probes"),
     )
-    members = indexed.withColumn("cell", F.col("own")).join(blocks, "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("queries") - 1)).alias("a"), F.pmod(F.xxhash64("rep"), F.col("members")).cast("int").alias("b"),
-        F.lit(False).alias("asks"), "rep", "weight", "v", "own", "code", "off", "probes",
+    blocks = F.broadcast(spark.createDataFrame(bins, "own int, bin int, parts int, blocks int"))
+    members = indexed.join(blocks, "own").select(
+        "bin", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("a"), F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("b"),
+        "rep", "weight", "v", "own", F.lit(None).cast("array<int>").alias("cells"), "code", "off", "probes",
     )
 
     def search(rows: pa.Table) -> pa.Table:
-        asking = rows["asks"].combine_chunks()
-        queries, members = rows.filter(asking), rows.filter(pa.compute.invert(asking))
+        asking = pc.is_valid(rows["cells"])
+        queries, members = rows.filter(asking), rows.filter(pc.invert(asking))
         if not (queries.num_rows and members.num_rows):
             return pa.table({"rep": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-        count_q, count_d, pairs = compare(queries, members, rows["cell"][0].as_py(), Quantiser(*known.value), threshold, radius)
+        count_q, count_d, pairs = compare(queries, members, Quantiser(*known.value), threshold, radius)
         q_rep, d_rep = queries["rep"].to_numpy(), members["rep"].to_numpy()
         some_q, some_d = np.flatnonzero(count_q), np.flatnonzero(count_d)
         rep = np.concatenate([q_rep[some_q], d_rep[some_d], q_rep[pairs[:, 0]]])
@@ -237,7 +318,7 @@ def _links(different: DataFrame, n: int, threshold: float, rows_per_list: int, l
         n = np.concatenate([count_q[some_q], count_d[some_d], np.zeros(len(pairs), np.int64)])
         return pa.table({"rep": pa.array(rep), "other": pa.array(other, mask=is_count), "n": pa.array(n)})
 
-    found = queries.unionByName(members).groupBy("cell", "a", "b").applyInArrow(search, "rep long, other long, n long")
+    found = queries.unionByName(members).groupBy("bin", "a", "b").applyInArrow(search, "rep long, other long, n long")
     return materialize(found, "found")
 
 
