@@ -331,18 +331,22 @@ def train_and_score(
     """
     docs = feature_table(texts_of(df, id_col, text_col))
     vectors = word_vectors(context_vectors(docs))
-    pooled = materialize(pool(docs, vectors), "pooled")
-    network = fit(pooled, sampled_labels(labels, train_rows, id_col, label_col, learn_from), vectors.shape[1] + EXTRA)
+    network = _taught_network(docs, vectors, sampled_labels(labels, train_rows, id_col, label_col, learn_from))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1).astype(np.float64)
-            score = network.probability(x)
+            score = network.probability(pooled_vectors(batch.column(1), vectors).astype(np.float64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"]
             )
 
-    return map_batches(pooled, run, f"doc_id {pooled.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    return map_batches(docs, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+
+
+def _taught_network(docs: DataFrame, vectors: np.ndarray, chosen: DataFrame) -> Network:
+    """The network, fitted on the documents that ``chosen`` has labels of; only those are pooled here."""
+    taught = docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    return fit(pool(taught, vectors), chosen, vectors.shape[1] + EXTRA)
 
 
 def drop_poor(
@@ -352,9 +356,7 @@ def drop_poor(
     """The rows of ``df``, with all columns, whose score is 0.5 or more. Nothing but sums and training rows is shuffled."""
     docs = texts_of(df, id_col, text_col)
     vectors = word_vectors(context_vectors(docs))
-    chosen = sampled_labels(labels, train_rows, id_col, label_col, learn_from)
-    taught = docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
-    network = fit(pool(taught, vectors), chosen, vectors.shape[1] + EXTRA)
+    network = _taught_network(docs, vectors, sampled_labels(labels, train_rows, id_col, label_col, learn_from))
     place = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
