@@ -78,7 +78,8 @@ SCORED = f"""{SIMILAR},
   epairs AS (SELECT DISTINCT userid, campaign FROM emb WHERE campaign IS NOT NULL),
   freq AS (SELECT campaign, count(*) AS n FROM emb WHERE campaign IS NOT NULL GROUP BY campaign),
   peers AS (SELECT q, count(*) AS peers FROM sim GROUP BY q),
-  cand AS (SELECT s.q, p.campaign, count(*) AS user_count, avg(s.similarity) AS similarity_score,
+  cand AS (SELECT s.q, p.campaign, count(*) AS user_count,
+      list_reduce(list(s.similarity ORDER BY s.rank), lambda a, b: a + b) / count(*) AS similarity_score,
       array_to_string(list(s.u ORDER BY s.rank)[1:3], ',') AS similar_users
     FROM sim s JOIN epairs p ON p.userid = s.u GROUP BY ALL),
   parts AS (SELECT c.*, p.peers, f.n / max(f.n) OVER (PARTITION BY c.q) AS engagement_frequency
