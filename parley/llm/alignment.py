@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from parley.llm.bpe import cut_pieces, safe_parts
-from parley.llm.common import PieceCache, group_sums, map_batches, take_ragged, texts_of, worker_state
+from parley.llm.common import PieceCache, group_sums, map_batches, piece_cache, take_ragged, texts_of, worker_state
 from parley.llm.token_output import byte_letters
 from parley.llm.vectors import PerfectHash, mixed, perfect_levels, tree_sum
 from parley.session import materialize
@@ -119,7 +119,7 @@ class _Pair:
 
 
 def _pair_of(path_a: str, path_b: str) -> _Pair:
-    return worker_state(f"pair:{path_a}:{path_b}", lambda: _Pair(path_a, path_b))
+    return piece_cache(f"pair:{path_a}:{path_b}", lambda: _Pair(path_a, path_b))
 
 
 def byte_lengths(path_a: str, path_b: str) -> tuple[np.ndarray, np.ndarray]:

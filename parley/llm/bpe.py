@@ -26,7 +26,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import PieceCache, group_sums, map_batches, take_ragged, texts_of, worker_state
+from parley.llm.common import PieceCache, group_sums, map_batches, piece_cache, take_ragged, texts_of, worker_state
 
 # Character classes, and Unicode's white space.
 LETTER, NUMBER, OTHER, SPACE, BLANK = range(5)
@@ -289,7 +289,7 @@ class Encoded:
 
 
 def _cache_of(path: str) -> PieceCache:
-    return worker_state(f"bpe:{path}", lambda: PieceCache(Merges(read_ranks(path)).encode))
+    return piece_cache(f"bpe:{path}", lambda: PieceCache(Merges(read_ranks(path)).encode))
 
 
 def cut_pieces(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:

@@ -114,6 +114,19 @@ class PieceCache:
         return flat, starts[index], lengths[index]
 
 
+def piece_cache(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by the worker until a cache of another name is asked for.
+
+    A worker runs the tasks of all operators of a session, one after the other; their caches would add up.
+    """
+    kept = worker_state("pieces", dict)
+    if name not in kept:
+        kept.clear()
+        release_memory()
+        kept[name] = make()
+    return kept[name]
+
+
 def release_memory() -> None:
     """Give back to the system what the last batch left free in the pools of Arrow and of the C library."""
     pa.default_memory_pool().release_unused()

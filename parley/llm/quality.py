@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import PieceCache, group_sums, map_batches, take_ragged, texts_of, worker_state
+from parley.llm.common import PieceCache, group_sums, map_batches, piece_cache, take_ragged, texts_of
 from parley.session import materialize
 
 BUCKETS = 1 << 13
@@ -40,6 +40,7 @@ CONTEXT_STEP = 50_000
 SLICE = 100_000
 TRAIN_ROWS = 20_000
 HIDDEN = 32
+CACHED_WORDS = 500_000
 
 
 def index_vectors(buckets: int = BUCKETS, dim: int = DIM, nonzero: int = NONZERO, seed: int = 11) -> np.ndarray:
@@ -93,7 +94,7 @@ def _features_of(buckets: int) -> PieceCache:
             lengths.append(1 + len(others))
         return np.array(out, np.int64), np.array(lengths, np.int64)
 
-    return worker_state(f"quality:{buckets}", lambda: PieceCache(encode, 700_000))
+    return piece_cache(f"quality:{buckets}", lambda: PieceCache(encode, CACHED_WORDS))
 
 
 def feature_runs(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:

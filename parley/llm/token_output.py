@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from parley.llm.common import PieceCache, group_sums, map_batches, release_memory, take_ragged, texts_of, worker_state
+from parley.llm.common import PieceCache, group_sums, map_batches, piece_cache, release_memory, take_ragged, texts_of
 from parley.session import materialize
 
 BLOCK_IDS = 4096
@@ -206,7 +206,7 @@ def _encoder(tokenizer_path: str) -> PieceCache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         return PieceCache(piece_encoder(Tokenizer.from_file(tokenizer_path)), CACHED_WORDS)
 
-    return worker_state(f"words:{tokenizer_path}", make)
+    return piece_cache(f"words:{tokenizer_path}", make)
 
 
 def encode_words(texts: pa.Array, tokenizer_path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
