@@ -46,7 +46,7 @@ TRAIN_ROWS = 65_536
 PART_DIMS = 4
 CODES = 256
 LIST_ROWS = 10_000
-QUERY_ROWS = 5000
+QUERY_ROWS = 20_000
 TOGETHER = 256
 BATCH_BYTES = 4 << 20
 # more than what rounding can do to a distance of unit vectors, in double and in single precision
@@ -83,6 +83,8 @@ class Quantiser:
     def __init__(self, centroids: np.ndarray, parts: list[np.ndarray], codebooks: list[np.ndarray]):
         self.centroids, self.parts, self.codebooks = centroids, parts, codebooks
         self.between = np.sqrt(squared_distances(centroids, centroids))
+        self.squares = [(book * book).sum(axis=1, keepdims=True).astype(np.float32) for book in codebooks]
+        self.doubles = [(2 * book).astype(np.float32) for book in codebooks]
 
     @staticmethod
     def fitted(sample: np.ndarray, lists: int) -> Quantiser:
@@ -110,10 +112,11 @@ class Quantiser:
         near[np.arange(len(x)), own] = False
         return own, codes, np.sqrt(off), np.nonzero(near)[1], near.sum(axis=1)
 
-    def tables(self, queries: np.ndarray, cell: int) -> list[np.ndarray]:
-        """For each subspace the squared distances of its codebook (rows) to the queries' residuals (columns)."""
-        rest = queries - self.centroids[cell]
-        return [squared_distances(book, rest[:, p]).astype(np.float32) for p, book in zip(self.parts, self.codebooks)]
+    def tables(self, queries: np.ndarray, cell: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The squared lengths of the queries' residuals, and for each subspace what an entry of its codebook (row) adds for each query
+        (column), so that their sum is the squared distance."""
+        rest = (queries - self.centroids[cell]).astype(np.float32)
+        return (rest * rest).sum(axis=1), [square - double @ rest[:, p].T for p, square, double in zip(self.parts, self.squares, self.doubles)]
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -152,33 +155,42 @@ class Members:
         self.probe_of = np.repeat(np.arange(len(at)), probes.value_lengths().to_numpy(zero_copy_only=False))
         self.probe_to = probes.flatten().to_numpy(zero_copy_only=False)
 
-    def looking_into(self, cell: int) -> np.ndarray:
-        out = np.zeros(len(self.at), bool)
-        out[self.probe_of[self.probe_to == cell]] = True
+    def look_into(self, lists: int) -> np.ndarray:
+        """Whether each member looks into each list."""
+        out = np.zeros((len(self.at), lists), bool)
+        out[self.probe_of, self.probe_to] = True
         return out
 
 
 def _cell_links(queries: np.ndarray, reps: np.ndarray, own: np.ndarray, members: Members, cell: int, quantiser: Quantiser, threshold: float, radius: float):
-    """(places of queries, places of members) among those given, block by block, with the matrix of which are linked."""
+    """(places of queries, places of members) of the linked pairs among those given, some queries at a time."""
     reach = ((radius + SLACK + members.off) ** 2 + TABLE_SLACK).astype(np.float32)
-    for home in np.unique(own):
-        mine = np.flatnonzero(own == home)
-        # members that look into the query's own list find the pair there
-        others = np.flatnonzero(~members.looking_into(home)) if home > cell else np.arange(len(members.at))
-        for lo in range(0, len(mine) if len(others) else 0, TOGETHER):
-            part = mine[lo : lo + TOGETHER]
-            # a code is a row of the table, so what is looked up for all queries lies side by side
-            far = np.zeros((len(others), len(part)), np.float32)
-            for m, table in enumerate(quantiser.tables(queries[part], cell)):
-                far += table[members.codes[others, m]]
-            near = (far <= reach[others][:, None]).T
-            if home == cell:
-                near &= reps[part][:, None] < members.rep[others]
-            some, rows = np.flatnonzero(near.any(axis=0)), np.flatnonzero(near.any(axis=1))
-            if len(some):
-                # cosines of all queries that have a candidate with all members that are one
-                linked = (queries[part[rows]] @ members.vectors[others[some]].T >= threshold) & near[np.ix_(rows, some)]
-                yield part[rows], others[some], linked
+    looks = members.look_into(len(quantiser.centroids))
+    for lo in range(0, len(queries), TOGETHER):
+        part = queries[lo : lo + TOGETHER]
+        # a code is a row of the table, so what is looked up for all queries lies side by side
+        lengths, tables = quantiser.tables(part, cell)
+        far = np.tile(lengths, (len(members.at), 1))
+        for m, table in enumerate(tables):
+            far += table[members.codes[:, m]]
+        y, x = np.nonzero(far <= reach[:, None])
+        home = own[lo + x]
+        # members that look into the query's own list find the pair there, and two of one list meet once
+        kept = np.where(home == cell, reps[lo + x] < members.rep[y], (home < cell) | ~looks[y, home])
+        x, y = x[kept], y[kept]
+        rows, some = np.unique(x), np.unique(y)
+        if 8 * len(x) > len(rows) * len(some):
+            # so many candidates that one product of matrices costs less than the pairs
+            near = np.zeros((len(part), len(members.at)), bool)
+            near[x, y] = True
+            linked = (part[rows] @ members.vectors[some].T >= threshold) & near[np.ix_(rows, some)]
+            x, y = np.nonzero(linked)
+            x, y = rows[x], some[y]
+        else:
+            linked = np.einsum("ij,ij->i", part[x], members.vectors[y]) >= threshold
+            x, y = x[linked], y[linked]
+        if len(x):
+            yield lo + x, y
 
 
 def compare(queries: pa.Table, members: pa.Table, quantiser: Quantiser, threshold: float, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,14 +203,13 @@ def compare(queries: pa.Table, members: pa.Table, quantiser: Quantiser, threshol
     count_q, count_d, left, right = np.zeros(len(q), np.int64), np.zeros(len(d), np.int64), [], []
     for cell in np.unique(d_own):
         at, there = asker[asked == cell], Members(members, d, np.flatnonzero(d_own == cell))
-        for x, y, linked in _cell_links(q[at], q_rep[at], q_own[at], there, int(cell), quantiser, threshold, radius):
-            x, own_y = at[x], there.at[y]
-            count_q[x] += linked @ there.weight[y]
-            count_d[own_y] += q_n[x] @ linked
-            pairs = np.nonzero(linked)
-            kept = forest(pairs[0], pairs[1] + len(x), len(x) + len(y))
-            left.append(x[pairs[0][kept]])
-            right.append(own_y[pairs[1][kept]])
+        for x, y in _cell_links(q[at], q_rep[at], q_own[at], there, int(cell), quantiser, threshold, radius):
+            np.add.at(count_q, at[x], there.weight[y])
+            np.add.at(count_d, there.at[y], q_n[at[x]])
+            nodes, (a, b) = np.unique(x), (np.searchsorted(np.unique(x), x), np.searchsorted(np.unique(y), y))
+            kept = forest(a, b + len(nodes), len(nodes) + len(np.unique(y)))
+            left.append(at[x[kept]])
+            right.append(there.at[y[kept]])
     left, right = (np.concatenate([np.zeros(0, np.int64), *s]) for s in (left, right))
     kept = forest(left, right + len(q), len(q) + len(d))
     return count_q, count_d, np.column_stack([left[kept], right[kept]])
@@ -240,7 +251,7 @@ def packed(order: np.ndarray, members: np.ndarray, asked: np.ndarray, n: int, li
 def _links(different: DataFrame, n: int, threshold: float, rows_per_list: int, list_rows: int, query_rows: int) -> DataFrame:
     """(rep, other, n), stored: with ``other``, a link; without, ``n`` rows that ``rep`` is linked with. All vectors have one length."""
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
-    lists = min(MOST_LISTS, 1 << int(math.log2(max(1.0, 8 * math.sqrt(n / rows_per_list)))))
+    lists = min(MOST_LISTS, 1 << int(math.log2(max(1.0, 4 * math.sqrt(n / rows_per_list)))))
     share = min(1.0, TRAIN_ROWS / n)
     sample = different.filter(F.pmod(F.xxhash64("rep", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("rep", "v").toArrow()
     quantiser = Quantiser.fitted(unit(_vectors(sample.sort_by("rep"))), lists)
