@@ -15,6 +15,8 @@ from parley.session import delete_path, materialize
 
 # Partitions of a keyed table.
 KEY_PARTS = 64
+# Bytes of a file of a compacted table.
+COMPACT_BYTES = 128 << 20
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
@@ -246,8 +248,10 @@ def save_jdbc(df: DataFrame, options: dict[str, str], mode: str = "overwrite") -
 
 
 def compact(spark: SparkSession, source: str, target: str) -> None:
-    """Rewrite a table of small files into files of AQE's advisory size."""
-    spark.read.parquet(source).hint("rebalance").write.mode("overwrite").parquet(target)
+    """Rewrite a table of small files into files of some COMPACT_BYTES. Files are read one after the other, so no row is shuffled."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(source)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    spark.read.parquet(source).coalesce(max(1, -(-size // COMPACT_BYTES))).write.mode("overwrite").parquet(target)
 
 
 def expire_days(spark: SparkSession, path: str, before: str, column: str = "day") -> list[str]:
