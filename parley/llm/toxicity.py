@@ -25,7 +25,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import map_batches, texts_of, worker_state
+from parley.llm.common import map_batches, maybe_among, texts_of, worker_state
 from parley.llm.quality import sampled_labels, taught_rows, usable_labels
 from parley.session import materialize
 
@@ -147,7 +147,8 @@ def learned_lexicon(docs: DataFrame, usable: DataFrame, words: int = LEXICON_WOR
     They are ranked by how surely the log odds of the texts that hold a word differ from 0. Documents with one id count
     each; a label that is given several times counts once.
     """
-    listed = docs.join(usable.select("doc_id", "label"), "doc_id")
+    # of the texts that have no label only a few move
+    listed = maybe_among(docs, usable, "doc_id").join(usable.select("doc_id", "label"), "doc_id")
     kinds = {r["label"]: r["n"] for r in listed.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, other = kinds.get(1, 0), kinds.get(0, 0)
     listed = listed.select("label", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
@@ -189,8 +190,8 @@ def train_and_score(
 ) -> DataFrame:
     """doc_id, score and predicted of every row of ``df``; ``learn_from`` says by doc_id which labels may be used.
 
-    ``df`` is read three times, so pass a stored table. Labels that are no small table make its texts move once, for the
-    lexicon.
+    ``df`` is read three times, so pass a stored table. Labels that are no small table make the labelled texts move
+    once, for the lexicon.
     """
     docs = texts_of(df, id_col, text_col)
     chosen = sampled_labels(labels, train_rows, id_col, label_col, learn_from)
