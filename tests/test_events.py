@@ -57,6 +57,14 @@ def test_raw_by_date_replaces_only_its_days(spark, sample, tmp_path):
     assert spark.read.parquet(path).count() == 16
 
 
+def test_raw_by_date_shuffles_nothing(spark, tmp_path):
+    """Each of three tasks writes its rows of both days, packed."""
+    rows = spark.range(60, numPartitions=3).selectExpr("concat('u', id) AS userid", "repeat('text ', 99) AS message", "timestamp'2024-01-01' + make_interval(0, 0, 0, id % 2) AS timestamp")
+    write_raw_by_date(rows, str(tmp_path / "raw"))
+    assert [len(list((tmp_path / "raw" / f"event_date=2024-01-0{d}").glob("*.zstd.parquet"))) for d in (1, 2)] == [3, 3]
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 60
+
+
 def test_sample_metrics(sample):
     users = {r["user_id"]: r for r in metrics.user_engagement(sample).collect()}
     assert {u: r["message_count"] for u, r in users.items()} == {"u1": 2, "u2": 2, "u3": 2, "u4": 1, "u5": 1}
