@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,30 @@ def test_documents_by_day(spark, sample, tmp_path):
     assert tables.latest_documents(stored, campaign="c1").count() >= 3
 
 
+def test_merged_documents(spark, tmp_path, monkeypatch):
+    """The same as a plain upsert, with repeats, ties and other rows on the same bits; texts of ids that occur once are not shuffled."""
+    row = "message_id string, userid string, message string, timestamp timestamp, campaign string, processing_timestamp timestamp, n int"
+    at = [datetime(2024, 1, d) for d in range(1, 5)]
+    old = [(f"m{i}", f"u{i % 7}", "x" * i, at[i % 3], None, at[0], 0) for i in range(200)]
+    new = [(f"m{i}", f"u{i % 7}", "x" * i, at[i % 3], None, at[1 + n % 2], n) for i in range(150, 300) for n in range(1 + i % 3)]
+    new += [("m1", "u1", None, None, "c", None, 1), ("m1", "u1", "x", None, "c", None, 1), ("m1", None, "z", None, "c", None, 1)]
+    stored, batch = (spark.createDataFrame(rows, row) for rows in (old, new))
+    expected = sorted(map(repr, upsert(stored, batch, ["message_id"], [F.col("processing_timestamp")], null_keys=False).collect()))
+    for bits in (tables.MARK_BITS, 64):
+        monkeypatch.setattr(tables, "MARK_BITS", bits)
+        assert sorted(map(repr, tables.merged_documents(stored, batch).collect())) == expected
+    monkeypatch.undo()
+    path = str(tmp_path / "docs")
+    long = spark.range(300, numPartitions=3).select(
+        F.concat(F.lit("u"), F.col("id")).alias("userid"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 50).alias("message"),
+        F.lit("c").alias("campaign"), F.lit("2024-01-01").cast("timestamp").alias("timestamp"),
+    )
+    assert tables.store_documents(spark, long, path)["inserted"] == 300
+    # every task wrote the rows that it had read, packed
+    files = list((tmp_path / "docs" / "day=2024-01-01").glob("*.zstd.parquet"))
+    assert len(files) == 3 and spark.read.parquet(path).count() == 300
+
+
 def test_keyed_table(spark, tmp_path):
     """An upsert leaves the files of partitions alone that none of its keys fall into."""
     path = tmp_path / "freq"
