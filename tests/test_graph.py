@@ -129,3 +129,37 @@ def test_integrity_and_left_join(spark, sample):
 def test_pair_join_has_no_cartesian_product(sample):
     plan = graph.user_similarity(sample)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_pair_changes_in_few_blocks(spark, monkeypatch):
+    """Any number of users makes MOST_BLOCKS blocks at most, whatever block is asked for; counts in a matrix and by sorting agree with all pairs."""
+    from parley.operators import pairs
+
+    rng = random.Random(9)
+    rows = {(f"u{i}", f"c{rng.randrange(most)}"): (rng.random() < 0.7, rng.random() < 0.5) for i in range(60) for most in (4, 400) for _ in range(4)}
+    rows |= {("é|", "c1"): (True, False), ("z", "c1"): (True, True), ("alone", "c999"): (True, False)}
+    df = spark.createDataFrame([(*k, *v) for k, v in rows.items()], "userid string, campaign string, now boolean, before boolean")
+    want = {}
+    for sign, n in ((1, 0), (-1, 1)):
+        for a, b, w in _pairs_by_hand([k for k, v in rows.items() if v[n]]):
+            want[a, b] = want.get((a, b), 0) + sign * w
+    for most, piece in ((5, 1 << 20), (1, 50)):
+        monkeypatch.setattr(pairs, "MOST_BLOCKS", most)
+        monkeypatch.setattr(pairs, "PIECE", piece)
+        found = pairs.pair_changes(df, block=2)
+        got = [tuple(r) for r in found.collect()]
+        assert len(got) == len(set(got)) and {(a, b): w for a, b, w in got} == {p: w for p, w in want.items() if w}
+
+
+def test_similar_users_in_few_groups(spark, monkeypatch):
+    """Sets are copied to a bounded number of groups, however few are asked to be in one."""
+    rng = random.Random(11)
+    rows = [(f"u{i:03d}", f"c{rng.randrange(30)}") for i in range(120) for _ in range(6)]
+    seen = []
+    monkeypatch.setattr(similar, "MOST_GROUPS", 3)
+    monkeypatch.setattr(similar, "PAIRS", 100)
+    near = similar._near_sets
+    monkeypatch.setattr(similar, "_near_sets", lambda *a: seen.append(near(*a)) or seen[0])
+    check_neighbours(spark, rows, 4, asking=2, compared=2)
+    # each group gives a set k + 1 others at most: at most 2 * 3 groups compared with
+    assert seen[0].groupBy("set").count().agg(F.max("count")).first()[0] <= 5 * 6
