@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.operators.pairs import pair_changes
 from parley.session import delete_path, materialize, path_exists
 from parley.sources.tables import list_dirs
 
@@ -25,16 +26,6 @@ def store_days(events: DataFrame, root: str) -> None:
     pairs.hint("rebalance", F.col("day")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{root}/days")
 
 
-def _met(changed: DataFrame, others: DataFrame, sign: int) -> DataFrame:
-    """Pairs (src < dst) of a user whose place in a campaign changed with one of ``others``; two that changed meet once."""
-    left = changed.select("campaign", F.col("userid").alias("a"))
-    right = others.select("campaign", F.col("userid").alias("b"), "new")
-    once = (F.col("a") != F.col("b")) & (~F.col("new") | (F.col("a") < F.col("b")))
-    met = left.join(right, "campaign").filter(once)
-    pair = [F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")]
-    return met.groupBy(*pair).agg((sign * F.count("*")).alias("weight"))
-
-
 def _state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
@@ -58,11 +49,11 @@ def move_window(spark: SparkSession, root: str, first: date, last: date) -> Data
     before = _state(spark, f"{old}/members", MEMBERS).withColumn("before", F.lit(True))
     both = now.join(before, ["userid", "campaign"], "full_outer")
     both = materialize(both.select("userid", "campaign", F.coalesce("now", F.lit(False)).alias("now"), F.coalesce("before", F.lit(False)).alias("before")), "both")
-    enter, leave = both.filter("now AND NOT before"), both.filter("before AND NOT now")
-    added = _met(enter, both.filter("now").withColumn("new", ~F.col("before")), 1)
-    taken = _met(leave, both.filter("before").withColumn("new", ~F.col("now")), -1)
-    stored = _state(spark, f"{old}/weights", WEIGHTS)
-    weights = stored.unionByName(added).unionByName(taken).groupBy("src", "dst").agg(F.sum("weight").alias("weight")).filter("weight > 0")
+    weights = pair_changes(both)
+    # before the first window there is nothing that a change could be added to
+    if version:
+        stored = _state(spark, f"{old}/weights", WEIGHTS)
+        weights = stored.unionByName(weights).groupBy("src", "dst").agg(F.sum("weight").alias("weight")).filter("weight > 0")
     both.filter("now").select("userid", "campaign").write.mode("overwrite").parquet(f"{new}/members")
     weights.write.mode("overwrite").parquet(f"{new}/weights")
     if version:
