@@ -26,6 +26,10 @@ from parley.session import materialize
 # Sets that ask together, and sets that they are compared with in one task.
 ASKING = 1000
 COMPARED = 10_000
+# Groups of sets that ask, and of those compared with each, that a table of sets is cut into at most: so often is a set copied.
+MOST_GROUPS = 16
+# Pairs of sets that a task looks at together.
+PAIRS = 1 << 22
 
 
 def _campaign_sets(df: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -89,9 +93,29 @@ def common_counts(a: pa.ChunkedArray, b: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
+NEAR = pa.schema([("set", pa.int64()), ("other", pa.int64()), ("weight", pa.int64())])
+
+
+def _nearest(a: pa.Table, b: pa.Table, k: int) -> pa.Table:
+    """The k + 1 sets of ``b`` that share most with each of ``a``, two campaigns at least. Of equals the first in ``b`` go before."""
+    own, other = a["set"].to_numpy(), b["set"].to_numpy()
+    weight = common_counts(a["tokens"], b["tokens"]) if len(own) and len(other) else np.zeros((len(own), len(other)), np.int32)
+    weight[own[:, None] == other] = 0
+    if len(other) > k + 1:
+        # no two of these numbers are equal, so the k + 1 largest are found without sorting the rest
+        order = weight.astype(np.int64) * len(other) + np.arange(len(other))[::-1]
+        best = np.argpartition(-order, k, axis=1)[:, : k + 1]
+    else:
+        best = np.broadcast_to(np.arange(len(other)), weight.shape)
+    found = np.take_along_axis(weight, best, axis=1)
+    at, place = np.nonzero(found > 1)
+    return pa.table([pa.array(own[at]), pa.array(other[best[at, place]]), pa.array(found[at, place].astype(np.int64))], schema=NEAR)
+
+
 def _near_sets(sets: DataFrame, floors: DataFrame, k: int, asking: int, compared: int) -> DataFrame:
     """(set, other, weight): for each set the k + 1 others that share most, of those that share two and the set's floor at least."""
     n = sets.count()
+    asking, compared = (max(least, math.ceil(n / MOST_GROUPS)) for least in (asking, compared))
     homes = max(1, math.ceil(n / asking))
     least = F.greatest(F.col("floor"), F.lit(2))
     # sets with the same rarest campaign ask together
@@ -114,14 +138,8 @@ def _near_sets(sets: DataFrame, floors: DataFrame, k: int, asking: int, compared
 
     def nearest(a: pa.Table, b: pa.Table) -> pa.Table:
         b = b.sort_by("low")
-        own, other = a["set"].to_numpy(), b["set"].to_numpy()
-        weight = common_counts(a["tokens"], b["tokens"]) if len(own) and len(other) else np.zeros((len(own), len(other)), np.int32)
-        weight[own[:, None] == other] = 0
-        # the others are in the order of their smallest user, so a stable sort breaks ties by it
-        best = np.argsort(-weight, axis=1, kind="stable")[:, : k + 1]
-        found = np.take_along_axis(weight, best, axis=1)
-        at, place = np.nonzero(found > 1)
-        return pa.table({"set": pa.array(own[at]), "other": pa.array(other[best[at, place]]), "weight": pa.array(found[at, place].astype(np.int64))})
+        parts = [_nearest(a.slice(at, max(1, PAIRS // max(1, len(b)))), b, k) for at in range(0, len(a), max(1, PAIRS // max(1, len(b))))]
+        return pa.concat_tables([NEAR.empty_table(), *parts])
 
     keys = ["cell", "block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(nearest, "set long, other long, weight long")
