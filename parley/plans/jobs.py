@@ -17,7 +17,7 @@ from parley.operators.embed import EMBEDDING_DIM, embed
 from parley.operators.recommend import recommendations
 from parley.operators.similar import similar_users_all
 from parley.plans.report import analytics_report
-from parley.session import recover_folder, scratch_scope, swap_folder
+from parley.session import TEXT_CODEC, recover_folder, scratch_scope, swap_folder
 from parley.sources import tables
 from parley.sources.events import ingest
 
@@ -153,7 +153,7 @@ def _write_graph(ids: DataFrame, root: str) -> None:
         ("about", graph.about_edges(ids)),
         ("similar_to", similar_users_all(ids)),
     ):
-        table.write.mode("overwrite").parquet(f"{root}/graph/{name}")
+        table.write.mode("overwrite").option("compression", TEXT_CODEC).parquet(f"{root}/graph/{name}")
 
 
 def frequency_table(spark: SparkSession, root: str) -> tables.KeyedTable:
@@ -205,7 +205,7 @@ def run_pipeline(
         with log.step("ingestion", 0) as facts:
             seen = Observation("ingested")
             clean = ingest(spark, input_path, multi_line).observe(seen, F.count("*").alias("n"))
-            clean.write.mode("overwrite").parquet(f"{root}/interactions")
+            clean.write.mode("overwrite").option("compression", TEXT_CODEC).parquet(f"{root}/interactions")
             events = spark.read.parquet(f"{root}/interactions")
             n = seen.get["n"]
             ok, errors = quality.validate_schema(events)
