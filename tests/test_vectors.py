@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +78,18 @@ def _searches(spark, index, x, k=7):
     return _collect(knn.knn(qdf, index, k)), _collect(knn.knn(qdf, index, k, nprobe=len(index.pivots), refine=60))
 
 
+def test_an_index_leaves_no_copy_of_its_vectors(spark, points, tmp_path, monkeypatch):
+    """What an index was built from in the scratch folder goes once it holds the vectors."""
+    made = []
+    stored = knn.materialize
+    monkeypatch.setattr(knn, "materialize", lambda df, name, *a: made.append(stored(df, name, *a)) or made[-1])
+    vectors = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id long, embedding array<float>")
+    index = knn.build_index(vectors, points.shape[1], nlist=3, path=str(tmp_path / "i"))
+    files = [f for df in made for f in df.inputFiles()]
+    assert files and not any(Path(f.removeprefix("file://")).exists() for f in files)
+    assert index.rows.count() == len(points) == knn.load_index(spark, str(tmp_path / "i")).rows.count()
+
+
 def test_growing_index(spark, points, tmp_path):
     """Appended, replaced, deleted and returned rows, in lists that overflow, against brute force after each step."""
     path, x = str(tmp_path / "index"), points[:150].copy()
