@@ -139,3 +139,21 @@ def test_texts_without_label_do_not_move(spark):
     kept = [r["doc_id"] for r in maybe_among(docs, keys, "doc_id").collect()]
     assert set(range(0, 5000, 90)) <= set(kept) and len(kept) < 1000
     assert maybe_among(docs, keys.limit(0), "doc_id").count() == 0
+
+
+def test_search_far_from_the_origin_and_in_turns(spark, monkeypatch):
+    """Single precision only picks candidates: vectors that differ in the last places of long numbers are told apart, in turns of few queries too."""
+    rng = np.random.default_rng(5)
+    x = (1000.0 + rng.integers(0, 40, (300, 6)) / 16.0).astype(np.float32)
+    x[250:] = x[:50]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    d = ((x[:, None, :].astype(float) - x[None].astype(float)) ** 2).sum(axis=2)
+    want = {(q, int(i)) for q in range(300) for i in np.lexsort((np.arange(300), d[q]))[:4]}
+    for kind, most in (("float", 100_000), ("double", 90)):
+        monkeypatch.setattr(knn, "TASK_QUERIES", most)
+        monkeypatch.setattr(knn, "TASKS", 1)
+        vectors = spark.createDataFrame(rows, f"id long, embedding array<{kind}>")
+        index = knn.build_index(vectors, 6, nlist=3)
+        asking = vectors.select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
+        for options in ({}, {"nprobe": 3, "refine": 60}):
+            assert {(r["qid"], r["id"]) for r in knn.knn(asking, index, 4, **options).collect()} == want
