@@ -163,3 +163,26 @@ def test_similar_users_in_few_groups(spark, monkeypatch):
     check_neighbours(spark, rows, 4, asking=2, compared=2)
     # each group gives a set k + 1 others at most: at most 2 * 3 groups compared with
     assert seen[0].groupBy("set").count().agg(F.max("count")).first()[0] <= 5 * 6
+
+
+def test_moving_window_stores_pairs_in_sheets(spark, tmp_path, monkeypatch):
+    """No row of a pair is stored or shuffled; sparse and dense sheets, several blocks, and more users than the blocks were made for."""
+    from datetime import date, datetime
+
+    from parley.operators import pairs, rolling
+
+    rng, root = random.Random(6), str(tmp_path / "rolling")
+    rows = [(f"u{rng.randrange(6 if day < 3 else 60)}", rng.choice(["a", "b", f"c{rng.randrange(40)}", "é|"]), datetime(2026, 1, day)) for day in range(1, 8) for _ in range(60)]
+    rolling.store_days(spark.createDataFrame(rows, "userid string, campaign string, timestamp timestamp"), root)
+    for gain, most, moves in ((100, 5, ((1, 2), (2, 4), (3, 6))), (0, 32, ((5, 7), (1, 2)))):
+        monkeypatch.setattr(pairs, "PRODUCT_GAIN", gain)
+        monkeypatch.setattr(pairs, "MOST_BLOCKS", most)
+        for first, last in moves:
+            got = rolling.move_window(spark, root, date(2026, 1, first), date(2026, 1, last), block=3)
+            assert {tuple(r) for r in got.collect()} == _pairs_by_hand([(u, c) for u, c, t in rows if first <= t.day <= last])
+    sheets = spark.read.parquet(f"{root}/window-5/weights")
+    assert sheets.count() <= got.count() and sheets.columns[:4] == ["pair", "lefts", "rights", "weights"]
+    wide = pairs.np.array([[0, 300], [70_000, 1]])
+    names = pairs.pa.array(["x", "y"])
+    sheet = rolling._sheets(0, wide, names, names)
+    assert (rolling._sheet_weights(sheet["weights"][0].as_py(), 2, 2) == wide).all()
