@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from parley.operators.graph import user_campaigns
 from parley.operators.joins import lookup_join
+from parley.operators.pairs import PRODUCT_GAIN, token_products
 from parley.session import materialize
 
 # Sets that ask together, and sets that they are compared with in one task.
@@ -83,6 +84,13 @@ def _ragged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 def common_counts(a: pa.ChunkedArray, b: pa.ChunkedArray) -> np.ndarray:
     """How many tokens each row of ``a`` has in common with each row of ``b``."""
     (at, ar), (bt, br) = _ragged(a), _ragged(b)
+    shared = np.intersect1d(at, bt)
+    # how often two rows have a token in common
+    met = int(np.prod([np.bincount(np.searchsorted(shared, t[np.isin(t, shared)]), minlength=len(shared)) for t in (at, bt)], axis=0).sum())
+    if met * PRODUCT_GAIN > len(a) * len(b) * len(shared) > 0:
+        # small enough whole numbers, so that single precision is exact
+        found = token_products(([(at, ar)], [(bt, br)]), ([(at[:0], ar[:0])], [(bt[:0], br[:0])]), len(a), len(b))
+        return np.concatenate([sums for _, sums in found]).astype(np.int32)
     out = np.zeros((len(a), len(b)), np.int32)
     ao, bo = np.argsort(at, kind="stable"), np.argsort(bt, kind="stable")
     at, ar, bt, br = at[ao], ar[ao], bt[bo], br[bo]
@@ -102,9 +110,11 @@ def _nearest(a: pa.Table, b: pa.Table, k: int) -> pa.Table:
     weight = common_counts(a["tokens"], b["tokens"]) if len(own) and len(other) else np.zeros((len(own), len(other)), np.int32)
     weight[own[:, None] == other] = 0
     if len(other) > k + 1:
-        # no two of these numbers are equal, so the k + 1 largest are found without sorting the rest
-        order = weight.astype(np.int64) * len(other) + np.arange(len(other))[::-1]
-        best = np.argpartition(-order, k, axis=1)[:, : k + 1]
+        # no two of these numbers are equal, so exactly k + 1 are as large as the last of them; small ones are looked at faster
+        kind = np.float32 if (int(weight.max(initial=0)) + 1) * len(other) < 1 << 24 else np.int64
+        order = weight.astype(kind) * kind(len(other)) + np.arange(len(other), dtype=kind)[::-1]
+        last = np.partition(order, len(other) - k - 1, axis=1)[:, len(other) - k - 1]
+        best = np.flatnonzero(order >= last[:, None]).reshape(len(own), k + 1) % len(other)
     else:
         best = np.broadcast_to(np.arange(len(other)), weight.shape)
     found = np.take_along_axis(weight, best, axis=1)
