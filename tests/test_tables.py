@@ -431,3 +431,22 @@ def test_scratch_scope_removes_its_tables(spark):
     with scratch_scope(spark):
         assert materialize(spark.range(3), "gone").count() == 3
     assert set(os.listdir(scratch_root(spark))) == before
+
+
+def test_streamed_texts_travel_packed_and_whole(spark, tmp_path):
+    """What the search for repeats shuffles is packed; empty, long and odd texts come back as they were, and stored vectors are packed too."""
+    from parley.sources import tables
+    from parley.streaming import events as stream
+
+    texts = ["", "a" * 100_000, "é |\U0001f600", "plain", "plain"]
+    rows = spark.createDataFrame([(f"u{min(i, 3)}", t, "2026-01-10T10:00:00Z", None) for i, t in enumerate(texts)], "userid string, message string, timestamp string, campaign string")
+    rows.write.json(str(tmp_path / "in"))
+    read = stream.read_event_stream(spark, str(tmp_path / "in"))
+    path, whole = str(tmp_path / "vectors"), str(tmp_path / "whole")
+    plan = stream.distinct_events(read)._jdf.queryExecution().analyzed().toString()
+    assert plan.index("_unpack(") < plan.index("DeduplicateWithinWatermark") < plan.index("_pack(")
+    stream.maintain_embeddings(read, path, str(tmp_path / "cp"), dim=8).awaitTermination()
+    tables.compact(spark, path, whole)
+    for folder in (path, whole):
+        assert sorted(r["message"] for r in spark.read.parquet(folder).collect()) == sorted(set(texts))
+    assert all(".zstd." in f.name for f in (tmp_path / "whole").glob("*.parquet"))
